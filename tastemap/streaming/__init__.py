@@ -1,0 +1,9 @@
+"""Streaming.
+
+The rating analytics this library rebuilds are batch jobs over static tables:
+no query in it reads an unbounded source, keeps state across micro-batches or
+handles late data. The package is kept so the layout matches the other areas;
+every operator here is a plain DataFrame function and so also runs on a
+streaming DataFrame where Spark allows the underlying operation (projections,
+filters, and aggregations in complete/update mode).
+"""
