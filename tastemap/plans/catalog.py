@@ -92,3 +92,91 @@ def _q_hist(spark, d):
 def _q_history(spark, d):
     t = load_tables(spark, d)
     return X.user_history(t.ratings, t.movies)
+
+
+# Quality -------------------------------------------------------------------------
+from ..operators import genres as G  # noqa: E402
+from ..operators import popularity as P  # noqa: E402
+from ..operators import quality as QC  # noqa: E402
+from ..operators import similarity as SIM  # noqa: E402
+from ..functions import unpack  # noqa: E402
+from ..sources.views import load_item_factors  # noqa: E402
+
+VIEW_REQUIRED = {"ratings": ["userId", "movieId", "rating"], "movies": ["movieId", "title"],
+                 "links": ["movieId"], "tags": ["userId", "movieId"]}
+EMBEDDING_RANK = 64
+
+
+@query("table_report")
+def _q_report(spark, d):
+    t = load_tables(spark, d)
+    return QC.table_report({"ratings": t.ratings, "movies": t.movies, "links": t.links,
+                            "tags": t.tags}, VIEW_REQUIRED)
+
+
+@query("preview_movies")
+def _q_preview(spark, d):
+    return QC.preview(load_tables(spark, d).movies, "movieId", 5)
+
+
+@query("rating_summary")
+def _q_summary(spark, d):
+    return QC.describe_numeric(load_tables(spark, d).ratings, ["userId", "movieId", "rating"])
+
+
+# Genres --------------------------------------------------------------------------
+@query("genre_vocabulary")
+def _q_vocab(spark, d):
+    return G.genre_vocabulary(load_tables(spark, d).movies)
+
+
+@query("movie_genres")
+def _q_movie_genres(spark, d):
+    return G.movie_genres(load_tables(spark, d).movies)
+
+
+@query("distinct_genre_strings")
+def _q_distinct_genres(spark, d):
+    return G.distinct_genre_strings(load_tables(spark, d).movies)
+
+
+@query("genre_flags")
+def _q_flags(spark, d):
+    movies = load_tables(spark, d).movies
+    return G.genre_flags(movies, G.collect_vocabulary(movies))
+
+
+# Popularity ----------------------------------------------------------------------
+@query("most_rated_left")
+def _q_fallback_a(spark, d):
+    t = load_tables(spark, d)
+    return P.most_rated_left(t.movies, t.ratings_sparse, 10)
+
+
+@query("most_rated_inner")
+def _q_fallback_b(spark, d):
+    t = load_tables(spark, d)
+    return P.most_rated_inner(t.movies, t.ratings, 10)
+
+
+# Vectors and similarity ------------------------------------------------------------
+@query("factor_columns")
+def _q_unpack(spark, d):
+    f = load_item_factors(spark, d)
+    return f.select("id", *unpack("features", EMBEDDING_RANK))
+
+
+@query("similar_by_factors")
+def _q_sim_factors(spark, d):
+    return SIM.similar_by_factors(load_item_factors(spark, d), 10,
+                                  movies=load_tables(spark, d).movies)
+
+
+@query("similar_by_genres")
+def _q_sim_genres(spark, d):
+    return SIM.similar_by_genres(load_tables(spark, d).movies, 10, order="nearest")
+
+
+@query("similar_by_genres_farthest")
+def _q_sim_genres_far(spark, d):
+    return SIM.similar_by_genres(load_tables(spark, d).movies, 10, order="farthest")

@@ -121,3 +121,117 @@ ORACLES["user_history"] = _q("""
 SELECT r.userId, r.movieId, r.rating, m.title, m.genres
 FROM ratings AS r LEFT JOIN movies AS m ON r.movieId = m.movieId
 """)
+
+ORACLES["table_report"] = _q("""
+SELECT 'ratings' AS table_name, count(*) AS n_rows,
+       count(*) FILTER (WHERE userId IS NULL OR movieId IS NULL OR rating IS NULL) AS n_rejected
+FROM ratings
+UNION ALL
+SELECT 'movies', count(*), count(*) FILTER (WHERE movieId IS NULL OR title IS NULL) FROM movies
+UNION ALL
+SELECT 'links', count(*), count(*) FILTER (WHERE movieId IS NULL) FROM links
+UNION ALL
+SELECT 'tags', count(*), count(*) FILTER (WHERE userId IS NULL OR movieId IS NULL) FROM tags
+""")
+
+ORACLES["preview_movies"] = _q("""
+SELECT * FROM movies ORDER BY movieId LIMIT 5
+""")
+
+ORACLES["rating_summary"] = _q("""
+SELECT column_name, n, round(mean, 6) AS mean, round(stddev, 6) AS stddev,
+       round(min, 6) AS min, round(max, 6) AS max
+FROM (
+  SELECT 'userId' AS column_name, count(userId) AS n, avg(userId) AS mean,
+         stddev_samp(userId) AS stddev, CAST(min(userId) AS double) AS min,
+         CAST(max(userId) AS double) AS max FROM ratings
+  UNION ALL
+  SELECT 'movieId', count(movieId), avg(movieId), stddev_samp(movieId),
+         CAST(min(movieId) AS double), CAST(max(movieId) AS double) FROM ratings
+  UNION ALL
+  SELECT 'rating', count(rating), avg(rating), stddev_samp(rating), min(rating), max(rating)
+  FROM ratings)
+""")
+
+_GENRE_SET = "list_sort(list_distinct(list_filter(string_split(genres, '|'), lambda x: x <> '')))"
+
+ORACLES["genre_vocabulary"] = _q(f"""
+SELECT DISTINCT unnest({_GENRE_SET}) AS genre FROM movies
+""")
+
+ORACLES["movie_genres"] = _q(f"""
+SELECT movieId, unnest({_GENRE_SET}) AS genre FROM movies
+""")
+
+ORACLES["distinct_genre_strings"] = _q("""
+SELECT DISTINCT genres FROM movies
+""")
+
+ORACLES["genre_flags"] = _q(f"""
+, vocab AS (SELECT list(genre ORDER BY genre) AS v
+            FROM (SELECT DISTINCT unnest({_GENRE_SET}) AS genre FROM movies))
+SELECT movieId,
+       list_transform(vocab.v, lambda g: CASE WHEN list_contains({_GENRE_SET}, g) THEN 1 ELSE 0 END) AS flags
+FROM movies, vocab
+""")
+
+ORACLES["most_rated_left"] = _q("""
+SELECT movieId, title, genres, n_ratings,
+       row_number() OVER (ORDER BY n_ratings DESC NULLS LAST, movieId) AS rank
+FROM (
+  SELECT a.movieId, a.title, a.genres, b.n_ratings
+  FROM movies AS a
+  LEFT JOIN (SELECT movieId, COUNT(rating) AS n_ratings FROM ratings_sparse GROUP BY movieId) AS b
+  USING (movieId)
+  ORDER BY b.n_ratings DESC NULLS LAST, a.movieId
+  LIMIT 10)
+""")
+
+ORACLES["most_rated_inner"] = _q("""
+SELECT title, genres, n_ratings, row_number() OVER (ORDER BY n_ratings DESC, movieId) AS rank
+FROM (
+  SELECT m.movieId, m.title, m.genres, c.n_ratings
+  FROM (SELECT movieId, count(rating) AS n_ratings FROM ratings GROUP BY movieId) AS c
+  JOIN movies AS m ON c.movieId = m.movieId
+  ORDER BY c.n_ratings DESC, m.movieId
+  LIMIT 10)
+""")
+
+ORACLES["factor_columns"] = "SELECT vec_id AS id, " + ", ".join(
+    f"embedding[{i + 1}] AS feature{i}" for i in range(64)) + " FROM embeddings"
+
+ORACLES["similar_by_factors"] = _q("""
+, f AS (SELECT vec_id AS id, CAST(embedding AS double[]) AS v FROM embeddings),
+pairs AS (
+  SELECT a.id AS target_id, b.id AS movieId, list_cosine_similarity(a.v, b.v) AS sim
+  FROM f AS a JOIN f AS b ON a.id <> b.id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS rank
+  FROM pairs)
+SELECT r.target_id, r.movieId, round(r.sim, 6) AS similarity, r.rank, m.title, m.genres
+FROM ranked AS r LEFT JOIN movies AS m ON r.movieId = m.movieId
+WHERE r.rank <= 10
+""")
+
+_GENRE_PAIRS = f"""
+, g AS (SELECT movieId, title, genres, {_GENRE_SET} AS gs FROM movies),
+pairs AS (
+  SELECT a.movieId AS target_id, b.movieId, b.title, b.genres,
+         CASE WHEN len(a.gs) * len(b.gs) > 0
+              THEN len(list_intersect(a.gs, b.gs)) / sqrt(len(a.gs) * len(b.gs)) END AS sim
+  FROM g AS a JOIN g AS b ON a.movieId <> b.movieId)
+"""
+
+ORACLES["similar_by_genres"] = _q(_GENRE_PAIRS + """
+SELECT target_id, movieId, title, genres, round(sim, 6) AS similarity, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS rank
+      FROM pairs)
+WHERE rank <= 10
+""")
+
+ORACLES["similar_by_genres_farthest"] = _q(_GENRE_PAIRS + """
+SELECT target_id, movieId, title, genres, round(sim, 6) AS similarity, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim ASC NULLS LAST, movieId) AS rank
+      FROM pairs)
+WHERE rank <= 10
+""")

@@ -96,3 +96,12 @@ def register_views(spark: SparkSession, tables: Tables | dict[str, DataFrame]) -
     items = tables.as_dict() if isinstance(tables, Tables) else tables
     for name, df in items.items():
         df.createOrReplaceTempView(name)
+
+
+def item_factors_from(embeddings: DataFrame) -> DataFrame:
+    """Learned-factor stand-in: ``id, features`` from the embeddings table."""
+    return embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+
+
+def load_item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return item_factors_from(_read(spark, sf_dir, "embeddings"))
