@@ -180,3 +180,149 @@ def _q_sim_genres(spark, d):
 @query("similar_by_genres_farthest")
 def _q_sim_genres_far(spark, d):
     return SIM.similar_by_genres(load_tables(spark, d).movies, 10, order="farthest")
+
+
+# Models ------------------------------------------------------------------------------
+from ..operators import als as ALSOPS  # noqa: E402
+from ..operators import biased_mf as BMF  # noqa: E402
+from ..operators import serving as SRV  # noqa: E402
+from ..operators import tuning as TUNE  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+ALS_PARAMS = {"rank": 10, "max_iter": 10, "reg_param": 0.1}
+BMF_PARAMS = {"rank": 10, "max_iter": 10, "reg_param": 0.1}
+TOP_N = 10
+
+
+def _train_test(spark, d):
+    t = load_tables(spark, d)
+    clean = QC.clean_ratings(t.ratings)
+    train, test = ALSOPS.split_hash(clean, 5, 0)
+    return t, train, test
+
+
+def _requests(t):
+    """Request batch derived from the data: every user seen in the tag stream."""
+    return t.tags.select(F.col("userId")).where(F.col("userId").isNotNull()).distinct()
+
+
+@query("hash_split_counts")
+def _q_split(spark, d):
+    clean = QC.clean_ratings(load_tables(spark, d).ratings)
+    return (clean.groupBy(ALSOPS.hash_bucket(5).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("als_rmse")
+def _q_als_rmse(spark, d):
+    _, train, test = _train_test(spark, d)
+    model = ALSOPS.fit_als(train, **ALS_PARAMS)
+    return ALSOPS.rmse_frame(ALSOPS.predict(model, test))
+
+
+@query("als_predictions")
+def _q_als_pred(spark, d):
+    _, train, test = _train_test(spark, d)
+    model = ALSOPS.fit_als(train, **ALS_PARAMS)
+    return ALSOPS.predict(model, test).select("userId", "movieId", "rating", "prediction")
+
+
+@query("als_recommend_all")
+def _q_als_all(spark, d):
+    _, train, _ = _train_test(spark, d)
+    return ALSOPS.recommend_all(ALSOPS.fit_als(train, **ALS_PARAMS), TOP_N)
+
+
+@query("als_recommend_users")
+def _q_als_users(spark, d):
+    t, train, _ = _train_test(spark, d)
+    model = ALSOPS.fit_als(train, **ALS_PARAMS)
+    return ALSOPS.recommend_for_users(model, _requests(t), TOP_N, t.movies, t.ratings)
+
+
+@query("als_similar_items")
+def _q_als_similar(spark, d):
+    t, train, _ = _train_test(spark, d)
+    model = ALSOPS.fit_als(train, **ALS_PARAMS)
+    return SIM.similar_by_factors(model.itemFactors, TOP_N, movies=t.movies)
+
+
+@query("bias_baseline_rmse")
+def _q_bias_rmse(spark, d):
+    _, train, test = _train_test(spark, d)
+    mu, bi, bu = BMF.bias_baseline(train)
+    pred = BMF.baseline_predict(mu, bi, bu, test)
+    return ALSOPS.rmse_frame(pred, prediction="estimate")
+
+
+@query("item_biases")
+def _q_item_bias(spark, d):
+    _, train, _ = _train_test(spark, d)
+    _, bi, _ = BMF.bias_baseline(train)
+    return bi.select("movieId", F.round("b_i", 6).alias("b_i"))
+
+
+@query("user_biases")
+def _q_user_bias(spark, d):
+    _, train, _ = _train_test(spark, d)
+    _, _, bu = BMF.bias_baseline(train)
+    return bu.select("userId", F.round("b_u", 6).alias("b_u"))
+
+
+@query("biased_mf_rmse")
+def _q_bmf_rmse(spark, d):
+    _, train, test = _train_test(spark, d)
+    model = BMF.fit_biased_mf(train, **BMF_PARAMS)
+    return ALSOPS.rmse_frame(BMF.predict_biased(model, test), prediction="estimate")
+
+
+@query("biased_mf_predictions")
+def _q_bmf_pred(spark, d):
+    _, train, test = _train_test(spark, d)
+    model = BMF.fit_biased_mf(train, **BMF_PARAMS)
+    return BMF.predict_biased(model, test).select("userId", "movieId", "rating", "estimate")
+
+
+@query("biased_mf_recommend")
+def _q_bmf_rec(spark, d):
+    t, train, _ = _train_test(spark, d)
+    model = BMF.fit_biased_mf(train, **BMF_PARAMS)
+    return BMF.recommend_biased(model, _requests(t), t.movies, TOP_N)
+
+
+@query("serve_requests")
+def _q_serve(spark, d):
+    t, train, _ = _train_test(spark, d)
+    model = BMF.fit_biased_mf(train, **BMF_PARAMS)
+    req = _requests(t).withColumn("n", F.lit(TOP_N))
+    return SRV.serve(req, model, t.movies, t.ratings)
+
+
+@query("fallback_titles")
+def _q_fallback_titles(spark, d):
+    from ..functions import join_ranked
+    t = load_tables(spark, d)
+    top = P.most_rated_inner(t.movies, t.ratings, TOP_N)
+    return top.agg(join_ranked("rank", "title").alias("titles"))
+
+
+@query("als_tuning_report")
+def _q_als_tuning(spark, d):
+    _, train, _ = _train_test(spark, d)
+    points = TUNE.grid(rank=[5, 10], maxIter=[5], regParam=[0.1])
+
+    def fit_eval(fit_rows, eval_rows, p):
+        m = ALSOPS.fit_als(fit_rows, p["rank"], p["maxIter"], p["regParam"])
+        return ALSOPS.rmse(ALSOPS.predict(m, eval_rows))
+    return TUNE.cross_validate(train, points, fit_eval, n_folds=2)
+
+
+@query("biased_mf_tuning_report")
+def _q_bmf_tuning(spark, d):
+    _, train, _ = _train_test(spark, d)
+    points = TUNE.grid(rank=[5, 10], maxIter=[5], regParam=[0.1])
+
+    def fit_eval(fit_rows, eval_rows, p):
+        m = BMF.fit_biased_mf(fit_rows, p["rank"], p["maxIter"], p["regParam"])
+        return ALSOPS.rmse(BMF.predict_biased(m, eval_rows), prediction="estimate")
+    return TUNE.cross_validate(train, points, fit_eval, n_folds=2)

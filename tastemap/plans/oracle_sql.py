@@ -235,3 +235,45 @@ FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim ASC NULLS
       FROM pairs)
 WHERE rank <= 10
 """)
+
+# Model inputs: cleaned ratings with int ids, split by a hash bucket that SQL can state.
+_SPLIT = """
+, clean AS (SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId,
+                   CAST(rating AS FLOAT) AS rating FROM ratings),
+bucketed AS (SELECT *, ((31 * CAST(userId AS BIGINT) + 17 * CAST(movieId AS BIGINT)) % 5 + 5) % 5 AS bucket
+             FROM clean),
+train AS (SELECT userId, movieId, rating FROM bucketed WHERE bucket <> 0),
+test AS (SELECT userId, movieId, rating FROM bucketed WHERE bucket = 0),
+mu AS (SELECT avg(CAST(rating AS double)) AS mu FROM train),
+bi AS (SELECT movieId, sum(rating - mu) / (count(*) + 10.0) AS b_i FROM train, mu GROUP BY movieId),
+bu AS (SELECT userId, sum(rating - mu - b_i) / (count(*) + 15.0) AS b_u
+       FROM train JOIN bi USING (movieId), mu GROUP BY userId)
+"""
+
+ORACLES["hash_split_counts"] = _q(_SPLIT + """
+SELECT bucket, count(*) AS n_rows FROM bucketed GROUP BY bucket
+""")
+
+ORACLES["bias_baseline_rmse"] = _q(_SPLIT + """
+SELECT count(*) AS n,
+       round(sqrt(avg(power(rating - least(5.0, greatest(1.0, mu + coalesce(b_u, 0) + coalesce(b_i, 0))), 2))), 6)
+         AS rmse
+FROM test LEFT JOIN bu USING (userId) LEFT JOIN bi USING (movieId), mu
+""")
+
+ORACLES["item_biases"] = _q(_SPLIT + """
+SELECT movieId, round(b_i, 6) AS b_i FROM bi
+""")
+
+ORACLES["user_biases"] = _q(_SPLIT + """
+SELECT userId, round(b_u, 6) AS b_u FROM bu
+""")
+
+ORACLES["fallback_titles"] = _q("""
+SELECT string_agg(title, ' | ' ORDER BY n_ratings DESC, movieId) AS titles
+FROM (SELECT m.movieId, m.title, c.n_ratings
+      FROM (SELECT movieId, count(rating) AS n_ratings FROM ratings GROUP BY movieId) AS c
+      JOIN movies AS m ON c.movieId = m.movieId
+      ORDER BY c.n_ratings DESC, m.movieId
+      LIMIT 10)
+""")
