@@ -103,13 +103,15 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataF
     not joined. Columns: ``userId, is_known, rank, movieId, predicted_rating,
     title, genres``.
     """
-    req = users.select(F.col("userId").try_cast("int").alias("userId")).where(
+    req = users.select(F.col("userId").try_cast("bigint").alias("userId")).where(
         F.col("userId").isNotNull()).distinct()
-    known_ids = model.userFactors.select(F.col("id").alias("userId"))
+    known_ids = model.userFactors.select(F.col("id").cast("bigint").alias("userId"))
     known = req.join(known_ids, "userId", "left_semi")
     unknown = req.join(known_ids, "userId", "left_anti")
 
-    recs = _flatten(model.recommendForUserSubset(known, k))
+    # ids the model knows fit in an int; ids that do not are simply unknown
+    recs = _flatten(model.recommendForUserSubset(known.select(F.col("userId").try_cast("int")), k))
+    recs = recs.withColumn("userId", F.col("userId").cast("bigint"))
     recs = recs.join(movies.select(F.col("movieId").cast("int").alias("movieId"), "title", "genres"),
                      "movieId", "left")
     recs = recs.select("userId", F.lit(True).alias("is_known"), "rank", "movieId",

@@ -45,9 +45,7 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
 
     known = flagged.where("is_known")
     if max_n:
-        recs = recommend_biased(model, known.select(F.col("userId").cast("int").alias("userId")),
-                                movies, max_n)
-        recs = recs.withColumn("userId", F.col("userId").cast("bigint"))
+        recs = recommend_biased(model, known.select("userId"), movies, max_n)
         per_user = (known.join(recs, "userId").where(F.col("rank") <= F.col("n"))
                     .groupBy("userId", "n").agg(join_ranked("rank", "title").alias("titles")))
         answered = known.select("userId", "n").join(per_user, ["userId", "n"], "left")
