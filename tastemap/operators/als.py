@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .popularity import most_rated_left
@@ -46,11 +46,16 @@ def split_hash(ratings: DataFrame, n_buckets: int = 5, test_bucket: int = 0):
 def make_als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, *,
              rating_col: str = "rating", cold_start: str = "drop", seed: int = DEFAULT_SEED,
              nonnegative: bool = False, implicit: bool = False, alpha: float = 1.0,
-             blocks: int | None = None, checkpoint_interval: int = 5) -> ALS:
+             blocks: int | None = None, checkpoint_interval: int = 10) -> ALS:
     als = ALS(userCol="userId", itemCol="movieId", ratingCol=rating_col, rank=rank,
               maxIter=max_iter, regParam=reg_param, coldStartStrategy=cold_start, seed=seed,
               nonnegative=nonnegative, implicitPrefs=implicit, alpha=alpha,
               checkpointInterval=checkpoint_interval)
+    # One block per task slot: ALS's own default (10) is too many for a small
+    # machine and far too few for a cluster.
+    if not blocks:
+        active = SparkSession.getActiveSession()
+        blocks = active.sparkContext.defaultParallelism if active is not None else None
     if blocks:
         als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als

@@ -12,7 +12,7 @@ pushed predicates.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,31 +64,56 @@ def links_from(lineitem: DataFrame) -> DataFrame:
                  F.max("l_suppkey").cast("string").alias("tmdbId")))
 
 
-@dataclass(frozen=True)
 class Tables:
-    """The four logical tables plus the sparse rating set."""
+    """The four logical tables plus the sparse rating set, built on first use.
 
-    ratings: DataFrame
-    ratings_sparse: DataFrame
-    movies: DataFrame
-    links: DataFrame
-    tags: DataFrame
+    Each source file is opened (file listing and footer read) only when a view
+    that needs it is first asked for, so a query pays only for its own inputs.
+    """
+
+    NAMES = ("ratings", "ratings_sparse", "movies", "links", "tags")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._dir = sf_dir
+
+    def _src(self, name: str) -> DataFrame:
+        return _read(self._spark, self._dir, name)
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return self._src("orders")
+
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        return self._src("lineitem")
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return ratings_from(self._orders, self._lineitem)
+
+    @cached_property
+    def ratings_sparse(self) -> DataFrame:
+        return ratings_from(self._orders, self._lineitem, sparse=True)
+
+    @cached_property
+    def movies(self) -> DataFrame:
+        return movies_from(self._src("part"))
+
+    @cached_property
+    def links(self) -> DataFrame:
+        return links_from(self._lineitem)
+
+    @cached_property
+    def tags(self) -> DataFrame:
+        return tags_from(self._src("events"))
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {"ratings": self.ratings, "ratings_sparse": self.ratings_sparse,
-                "movies": self.movies, "links": self.links, "tags": self.tags}
+        return {name: getattr(self, name) for name in self.NAMES}
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    return Tables(
-        ratings=ratings_from(orders, lineitem),
-        ratings_sparse=ratings_from(orders, lineitem, sparse=True),
-        movies=movies_from(_read(spark, sf_dir, "part")),
-        links=links_from(lineitem),
-        tags=tags_from(_read(spark, sf_dir, "events")),
-    )
+    return Tables(spark, sf_dir)
 
 
 def register_views(spark: SparkSession, tables: Tables | dict[str, DataFrame]) -> None:
