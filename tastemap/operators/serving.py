@@ -9,6 +9,7 @@ as one Spark job over any number of requests.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +39,11 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
     req = requests.select(F.col("userId").cast("bigint").alias("userId"),
                           F.col("n").cast("int").alias("n")).where(
         F.col("userId").isNotNull() & (F.col("n") > 0))
-    max_n = req.agg(F.max("n")).first()[0] or 0
+    # request-sized, read by both branches and by the sizing step: keep it
+    flagged = known_flags(req, ratings).persist(StorageLevel.MEMORY_AND_DISK)
+    max_n = flagged.agg(F.max("n")).first()[0] or 0
     if max_n > MAX_N:
         raise ValueError(f"n above {MAX_N} requested")
-    flagged = known_flags(req, ratings)
 
     known = flagged.where("is_known")
     if max_n:
