@@ -140,3 +140,15 @@ def test_cross_validation_report(spark, planted):
     assert len(rep) == 4
     assert sum(r["is_best"] for r in rep) == 2       # both folds of the best point
     assert len(T.als_grid()) == 27 and len(T.als_grid(False)) == 81
+
+
+def test_expand_alpha_and_refit(spark, planted):
+    rep = spark.createDataFrame(
+        [(0, '{"maxIter": 3, "rank": 2, "regParam": 0.1}', 0, 1.0, 1.0, True)],
+        "grid_id int, params string, fold int, rmse double, avg_rmse double, is_best boolean")
+    rows = T.expand_alpha(rep).collect()
+    assert len(rows) == 3
+    assert {r["params"] for r in rows} == {
+        '{"maxIter":"3","rank":"2","regParam":"0.1","alpha":"%s"}' % a for a in ("0.1", "0.01", "0.001")}
+    m = T.refit_best(planted, rep, lambda tr, p: A.fit_als(tr, p["rank"], p["maxIter"], p["regParam"]))
+    assert m.rank == 2
