@@ -84,7 +84,7 @@ SELECT * FROM movies WHERE movieId NOT IN (SELECT movieId FROM ratings_sparse)
 ORACLES["unrated_items_not_in"] = ORACLES["unrated_items"]
 
 ORACLES["top_reviewed"] = _q("""
-SELECT title, count, row_number() OVER (ORDER BY count DESC, title) AS rank
+SELECT title, count, CAST(row_number() OVER (ORDER BY count DESC, title) AS INTEGER) AS rank
 FROM (
   SELECT title, CAST(SUM(rated) AS BIGINT) AS count
   FROM (SELECT a.title, CASE WHEN rating IS NULL THEN 0 ELSE 1 END AS rated
@@ -96,7 +96,7 @@ FROM (
 
 ORACLES["top_rated"] = _q("""
 SELECT title, rate, count,
-       row_number() OVER (ORDER BY count DESC, rate DESC NULLS LAST, title) AS rank
+       CAST(row_number() OVER (ORDER BY count DESC, rate DESC NULLS LAST, title) AS INTEGER) AS rank
 FROM (
   SELECT a.title, ROUND(AVG(b.rating), 1) AS rate,
          CAST(SUM(CASE WHEN b.rating IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS count
@@ -177,7 +177,7 @@ FROM movies, vocab
 
 ORACLES["most_rated_left"] = _q("""
 SELECT movieId, title, genres, n_ratings,
-       row_number() OVER (ORDER BY n_ratings DESC NULLS LAST, movieId) AS rank
+       CAST(row_number() OVER (ORDER BY n_ratings DESC NULLS LAST, movieId) AS INTEGER) AS rank
 FROM (
   SELECT a.movieId, a.title, a.genres, b.n_ratings
   FROM movies AS a
@@ -188,7 +188,7 @@ FROM (
 """)
 
 ORACLES["most_rated_inner"] = _q("""
-SELECT title, genres, n_ratings, row_number() OVER (ORDER BY n_ratings DESC, movieId) AS rank
+SELECT title, genres, n_ratings, CAST(row_number() OVER (ORDER BY n_ratings DESC, movieId) AS INTEGER) AS rank
 FROM (
   SELECT m.movieId, m.title, m.genres, c.n_ratings
   FROM (SELECT movieId, count(rating) AS n_ratings FROM ratings GROUP BY movieId) AS c
@@ -206,7 +206,7 @@ pairs AS (
   SELECT a.id AS target_id, b.id AS movieId, list_cosine_similarity(a.v, b.v) AS sim
   FROM f AS a JOIN f AS b ON a.id <> b.id),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS INTEGER) AS rank
   FROM pairs)
 SELECT r.target_id, r.movieId, round(r.sim, 6) AS similarity, r.rank, m.title, m.genres
 FROM ranked AS r LEFT JOIN movies AS m ON r.movieId = m.movieId
@@ -224,14 +224,14 @@ pairs AS (
 
 ORACLES["similar_by_genres"] = _q(_GENRE_PAIRS + """
 SELECT target_id, movieId, title, genres, round(sim, 6) AS similarity, rank
-FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId) AS INTEGER) AS rank
       FROM pairs)
 WHERE rank <= 10
 """)
 
 ORACLES["similar_by_genres_farthest"] = _q(_GENRE_PAIRS + """
 SELECT target_id, movieId, title, genres, round(sim, 6) AS similarity, rank
-FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY sim ASC NULLS LAST, movieId) AS rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY sim ASC NULLS LAST, movieId) AS INTEGER) AS rank
       FROM pairs)
 WHERE rank <= 10
 """)
