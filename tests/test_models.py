@@ -152,3 +152,13 @@ def test_expand_alpha_and_refit(spark, planted):
         '{"maxIter":"3","rank":"2","regParam":"0.1","alpha":"%s"}' % a for a in ("0.1", "0.01", "0.001")}
     m = T.refit_best(planted, rep, lambda tr, p: A.fit_als(tr, p["rank"], p["maxIter"], p["regParam"]))
     assert m.rank == 2
+
+
+def test_builtin_cross_validator(spark, planted):
+    points = T.grid(rank=[2, 3], maxIter=[3], regParam=[0.1])
+    model, rep = T.tune_als_builtin(planted, points, n_folds=2)
+    rows = rep.collect()
+    assert len(rows) == 2 and sum(r["is_best"] for r in rows) == 1
+    best = [r for r in rows if r["is_best"]][0]
+    assert best["avg_rmse"] == min(r["avg_rmse"] for r in rows)
+    assert model.rank in (2, 3)
