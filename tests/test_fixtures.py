@@ -126,3 +126,13 @@ def test_user_history_batch(spark, movies, ratings):
 def test_describe_numeric(spark, ratings):
     rows = {r["column_name"]: r for r in QC.describe_numeric(ratings, ["rating"]).collect()}
     assert rows["rating"]["n"] == 5 and rows["rating"]["max"] == 5.0 and rows["rating"]["min"] == 1.0
+
+
+def test_sql_entry_with_parameter_markers(spark, movies, ratings):
+    register_views(spark, {"movies": movies, "ratings": ratings})
+    text = """SELECT r.userId, r.movieId, r.rating, m.title FROM ratings AS r
+              LEFT JOIN movies AS m USING (movieId) WHERE r.userId = :uid ORDER BY r.rating DESC"""
+    rows = X.run_sql(spark, text, uid=10).collect()
+    assert [(r["movieId"], r["rating"]) for r in rows] == [(2, 5.0), (1, 4.0)]
+    # a 16-digit id matches nothing and does not fail
+    assert X.run_sql(spark, text, uid=1111111111111111).count() == 0
