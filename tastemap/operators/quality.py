@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..sources.schemas import REQUIRED
 
-INT_MAX = 2**31 - 1
-
 
 class EmptyTableError(ValueError):
     """Raised when a table the jobs need has no rows."""

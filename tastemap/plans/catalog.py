@@ -9,9 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import join_ranked, unpack
+from ..operators import als as ALSOPS
+from ..operators import biased_mf as BMF
 from ..operators import explore as X
-from ..sources.views import load_tables, register_views
+from ..operators import genres as G
+from ..operators import popularity as P
+from ..operators import quality as QC
+from ..operators import serving as SRV
+from ..operators import similarity as SIM
+from ..operators import tuning as TUNE
+from ..sources.views import load_item_factors, load_tables, register_views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -95,12 +105,6 @@ def _q_history(spark, d):
 
 
 # Quality -------------------------------------------------------------------------
-from ..operators import genres as G  # noqa: E402
-from ..operators import popularity as P  # noqa: E402
-from ..operators import quality as QC  # noqa: E402
-from ..operators import similarity as SIM  # noqa: E402
-from ..functions import unpack  # noqa: E402
-from ..sources.views import load_item_factors  # noqa: E402
 
 VIEW_REQUIRED = {"ratings": ["userId", "movieId", "rating"], "movies": ["movieId", "title"],
                  "links": ["movieId"], "tags": ["userId", "movieId"]}
@@ -183,11 +187,6 @@ def _q_sim_genres_far(spark, d):
 
 
 # Models ------------------------------------------------------------------------------
-from ..operators import als as ALSOPS  # noqa: E402
-from ..operators import biased_mf as BMF  # noqa: E402
-from ..operators import serving as SRV  # noqa: E402
-from ..operators import tuning as TUNE  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 ALS_PARAMS = {"rank": 10, "max_iter": 10, "reg_param": 0.1}
 BMF_PARAMS = {"rank": 10, "max_iter": 10, "reg_param": 0.1}
@@ -300,7 +299,6 @@ def _q_serve(spark, d):
 
 @query("fallback_titles")
 def _q_fallback_titles(spark, d):
-    from ..functions import join_ranked
     t = load_tables(spark, d)
     top = P.most_rated_inner(t.movies, t.ratings, TOP_N)
     return top.agg(join_ranked("rank", "title").alias("titles"))
