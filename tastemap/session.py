@@ -24,10 +24,14 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tastemap") -> SparkSession:
+                app_name: str = "tastemap", driver_memory: str | None = None) -> SparkSession:
+    """``driver_memory`` only matters for a local session started here (in local
+    mode the driver JVM is the executor); on a cluster it is the launcher's job."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
