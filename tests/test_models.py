@@ -162,3 +162,14 @@ def test_builtin_cross_validator(spark, planted):
     best = [r for r in rows if r["is_best"]][0]
     assert best["avg_rmse"] == min(r["avg_rmse"] for r in rows)
     assert model.rank in (2, 3)
+
+
+def test_unrated_item_scores_mu_plus_bu(spark, planted, movies):
+    # movies 100..104 have no rating at all (tag-only items): no factors, no item bias
+    model = B.fit_biased_mf(planted, rank=3, max_iter=3, reg_param=0.1)
+    rows = B.recommend_biased(model, spark.createDataFrame([(0,)], "userId int"), movies, 105).collect()
+    assert len(rows) == 105
+    bu = {r["userId"]: r["b_u"] for r in model.user_bias.collect()}[0]
+    for r in rows:
+        if r["movieId"] >= 100:
+            assert r["estimate_rating"] == pytest.approx(min(5.0, max(1.0, model.mu + bu)))
