@@ -123,7 +123,9 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataF
                        F.col("predicted_rating").cast("double").alias("predicted_rating"),
                        "title", "genres")
 
-    fallback = most_rated_left(movies, ratings, k).orderBy("rank").collect()
+    # the fallback list costs an aggregation over all ratings: only when needed
+    has_unknown = unknown.limit(1).count() > 0
+    fallback = most_rated_left(movies, ratings, k).orderBy("rank").collect() if has_unknown else []
     lit_rows = F.array(*[F.struct(F.lit(r["rank"]).cast("int").alias("rank"),
                                   F.lit(r["movieId"]).cast("int").alias("movieId"),
                                   F.lit(r["title"]).cast("string").alias("title"),

@@ -56,9 +56,12 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
     answered = answered.select("userId", "n", F.lit(True).alias("is_known"),
                                F.coalesce("titles", F.lit("")).alias("titles"))
 
-    titles = fallback_titles(movies, ratings, max_n) if max_n else []
+    unknown = flagged.where(~F.col("is_known"))
+    # the fallback list costs an aggregation over all ratings: only when needed
+    any_unknown = max_n > 0 and unknown.limit(1).count() > 0
+    titles = fallback_titles(movies, ratings, max_n) if any_unknown else []
     lit_titles = F.array(*[F.lit(t) for t in titles]) if titles else F.array().cast("array<string>")
-    unknown = flagged.where(~F.col("is_known")).select(
+    unknown = unknown.select(
         "userId", "n", F.lit(False).alias("is_known"),
         F.array_join(F.slice(lit_titles, 1, F.col("n")), " | ").alias("titles"))
     return answered.unionByName(unknown)
