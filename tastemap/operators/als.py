@@ -9,6 +9,7 @@ iterations (so a lost executor does not replay the whole fit). Ids must be
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,22 @@ def make_als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, *,
     return als
 
 
+def fit_persisted(estimator: ALS, rows: DataFrame) -> ALSModel:
+    """Fit with the input kept for the length of the fit: ALS reads its input more
+    than once (to size and to block the ratings), and each read would otherwise
+    recompute the input's lineage. ALS materialises its own factors, so the
+    input is released right after."""
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
             **kwargs) -> ALSModel:
-    return make_als(rank, max_iter, reg_param, **kwargs).fit(train)
+    return fit_persisted(make_als(rank, max_iter, reg_param, **kwargs),
+                         train.select("userId", "movieId", kwargs.get("rating_col", "rating")))
 
 
 # M6 / A11 -----------------------------------------------------------------------------
