@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .popularity import most_rated_left
+from .scoring import DEFAULT_CHUNK_ROWS, topk_scores
 
 DEFAULT_SEED = 202112
 
@@ -100,24 +101,33 @@ def rmse_frame(predictions: DataFrame, label: str = "rating", prediction: str =
 
 
 # R1 / R2 ------------------------------------------------------------------------------
-def _flatten(recs: DataFrame) -> DataFrame:
-    return (recs.select("userId", F.posexplode("recommendations").alias("pos", "rec"))
-            .select("userId", (F.col("pos") + 1).alias("rank"),
-                    F.col("rec.movieId").alias("movieId"),
-                    F.col("rec.rating").alias("predicted_rating")))
+def _top_items(model: ALSModel, users: DataFrame | None, k: int,
+               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Top-k items by predicted rating (``p_u . q_i``), ties to the lower item id.
+
+    Same ranking as ``recommendForAllUsers`` / ``recommendForUserSubset``, but
+    scored with the bounded-broadcast scorer: those built-ins cross-join factor
+    blocks, this plan never forms a cartesian product.
+    """
+    uf = model.userFactors
+    if users is not None:
+        uf = uf.join(users.select(F.col("userId").alias("id")), "id", "left_semi")
+    top = topk_scores(uf, model.itemFactors, k, mode="dot", chunk_rows=chunk_rows)
+    return top.select(F.col("query_id").alias("userId"), "rank", F.col("cand_id").alias("movieId"),
+                      F.col("score").alias("predicted_rating"))
 
 
-def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:
+def recommend_all(model: ALSModel, k: int = 10, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """R2: top-k for every user of the model, one row per (user, rank)."""
-    return _flatten(model.recommendForAllUsers(k))
+    return _top_items(model, None, k, chunk_rows)
 
 
 def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataFrame,
                         ratings: DataFrame) -> DataFrame:
     """R1 for a batch of users.
 
-    Users the model knows get its top-k (Spark's blocked top-k over their factor
-    rows only). Others get the most-rated list (fallback A): that list is a
+    Users the model knows get its top-k (only their factor rows are scored).
+    Others get the most-rated list (fallback A): that list is a
     ``limit k`` result, so it is collected once and attached as a literal array,
     not joined. Columns: ``userId, is_known, rank, movieId, predicted_rating,
     title, genres``.
@@ -128,10 +138,8 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataF
     known = req.join(known_ids, "userId", "left_semi")
     unknown = req.join(known_ids, "userId", "left_anti")
 
-    # ids the model knows fit in an int; ids that do not are simply unknown
-    recs = _flatten(model.recommendForUserSubset(known.select(F.col("userId").try_cast("int")), k))
-    recs = recs.withColumn("userId", F.col("userId").cast("bigint"))
-    recs = recs.join(movies.select(F.col("movieId").cast("int").alias("movieId"), "title", "genres"),
+    recs = _top_items(model, known, k)
+    recs = recs.join(movies.select(F.col("movieId").cast("bigint").alias("movieId"), "title", "genres"),
                      "movieId", "left")
     recs = recs.select("userId", F.lit(True).alias("is_known"), "rank", "movieId",
                        F.col("predicted_rating").cast("double").alias("predicted_rating"),
@@ -148,7 +156,7 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataF
         "array<struct<rank:int,movieId:int,title:string,genres:string>>")
     fb = (unknown.select("userId", F.explode(lit_rows).alias("f"))
           .select("userId", F.lit(False).alias("is_known"), F.col("f.rank").alias("rank"),
-                  F.col("f.movieId").alias("movieId"),
+                  F.col("f.movieId").cast("bigint").alias("movieId"),
                   F.lit(None).cast("double").alias("predicted_rating"),
                   F.col("f.title").alias("title"), F.col("f.genres").alias("genres")))
     return recs.unionByName(fb)

@@ -54,3 +54,11 @@ def test_per_group_top_k_is_limited_before_the_shuffle(plans):
 def test_user_history_sorts_without_a_per_user_window(plans):
     assert "Window" not in plans["user_history"]
     assert "Sort [userId" in plans["user_history"]
+
+
+def test_model_queries_have_no_cartesian_products(spark):
+    qs = queries()
+    for name in sorted(MODEL_QUERIES - {"als_tuning_report", "biased_mf_tuning_report"}):
+        p = plan(qs[name](spark, SF_SMALL))
+        assert "CartesianProduct" not in p, name
+        assert "BroadcastNestedLoopJoin" not in p, name
