@@ -173,3 +173,15 @@ def test_unrated_item_scores_mu_plus_bu(spark, planted, movies):
     for r in rows:
         if r["movieId"] >= 100:
             assert r["estimate_rating"] == pytest.approx(min(5.0, max(1.0, model.mu + bu)))
+
+
+def test_als_top_k_matches_builtin_ranking(spark, planted):
+    m = A.fit_als(planted, rank=3, max_iter=5, reg_param=0.05)
+    ours = {}
+    for r in A.recommend_all(m, 5).collect():
+        ours.setdefault(r["userId"], []).append((r["rank"], r["movieId"]))
+    builtin = {r["userId"]: [x["movieId"] for x in r["recommendations"]]
+               for r in m.recommendForAllUsers(5).collect()}
+    assert set(ours) == set(builtin)
+    for u, recs in ours.items():
+        assert [i for _, i in sorted(recs)] == builtin[u]
