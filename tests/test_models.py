@@ -185,3 +185,15 @@ def test_als_top_k_matches_builtin_ranking(spark, planted):
     assert set(ours) == set(builtin)
     for u, recs in ours.items():
         assert [i for _, i in sorted(recs)] == builtin[u]
+
+
+def test_serving_when_every_request_is_unknown(spark, planted, movies):
+    model = B.fit_biased_mf(planted, rank=3, max_iter=3, reg_param=0.1)
+    req = spark.createDataFrame([(7777, 2), (8888, 3)], "userId bigint, n int")
+    rows = {r["userId"]: r for r in S.serve(req, model, movies, planted).collect()}
+    assert set(rows) == {7777, 8888}
+    assert not rows[7777]["is_known"] and len(rows[7777]["titles"].split(" | ")) == 2
+    assert len(rows[8888]["titles"].split(" | ")) == 3
+    empty = A.recommend_for_users(A.fit_als(planted, 2, 2, 0.1),
+                                  spark.createDataFrame([(9999,)], "userId bigint"), 3, movies, planted)
+    assert sorted(r["rank"] for r in empty.collect()) == [1, 2, 3]
