@@ -136,3 +136,15 @@ def test_sql_entry_with_parameter_markers(spark, movies, ratings):
     assert [(r["movieId"], r["rating"]) for r in rows] == [(2, 5.0), (1, 4.0)]
     # a 16-digit id matches nothing and does not fail
     assert X.run_sql(spark, text, uid=1111111111111111).count() == 0
+
+
+def test_wide_onehot_and_materialize(spark, movies):
+    from tastemap.session import materialize
+    vocab = G.collect_vocabulary(movies)
+    wide = G.genre_onehot_wide(movies, vocab)
+    assert wide.columns == ["movieId", "title"] + vocab
+    row = {r["movieId"]: r for r in wide.collect()}[1]
+    assert (row["Drama"], row["War"], row["Comedy"]) == (1, 1, 0)
+    stored = materialize(wide, "wide-test")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, wide.collect()))
+    assert spark.conf.get("spark.checkpoint.dir") in stored.inputFiles()[0]
