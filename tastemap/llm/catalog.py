@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from tastemap.llm import chat, decontaminate, quality, secrets
+from tastemap.llm import chat, decontaminate, minhash, packing, quality, secrets, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op3_chat_prefix_targets": chat.op3_chat_prefix_targets,
+    "op6_warc_round_trip": warc.op6_warc_round_trip,
+    "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
     "op8_secret_scan": secrets.op8_secret_scan,
+    "op9_order_preserving_packing": packing.op9_order_preserving_packing,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 ORACLES = {
     "op1_quality_rules": quality.ORACLE,
     "op3_chat_prefix_targets": chat.ORACLE,
+    "op6_warc_round_trip": warc.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
 }
