@@ -138,7 +138,10 @@ def keep_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, .
     """The documents that pass every rule, with exactly the columns they came with."""
     slim = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"),
                        docs[text_col].alias("_raw"))
-    return _verdict(_measures(slim, F.col("_raw")), rules).where("kept").select("_row.*")
+    # A filter on plain columns would be pushed below the measures, each copied into it as
+    # often as it is used; the row number makes it stay above them.
+    out = _verdict(_measures(slim, F.col("_raw")), rules).select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
+    return out.where("kept and _n >= 0").select("_row.*")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
