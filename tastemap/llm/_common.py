@@ -25,6 +25,14 @@ def stage_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if path is not None:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

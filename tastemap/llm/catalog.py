@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tastemap.llm import chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, warc
+from tastemap.llm import chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op3_chat_prefix_targets": chat.op3_chat_prefix_targets,
     "op4_lm_scoring": lm_scoring.op4_lm_scoring,
+    "op5_suffix_array_dedup": suffix_dedup.op5_suffix_array_dedup,
     "op6_warc_round_trip": warc.op6_warc_round_trip,
     "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
     "op8_secret_scan": secrets.op8_secret_scan,
