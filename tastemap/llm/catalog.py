@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tastemap.llm import chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, suffix_dedup, warc
+from tastemap.llm import chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, span_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_sentence_span_dedup": span_dedup.op2_sentence_span_dedup,
     "op3_chat_prefix_targets": chat.op3_chat_prefix_targets,
     "op4_lm_scoring": lm_scoring.op4_lm_scoring,
     "op5_suffix_array_dedup": suffix_dedup.op5_suffix_array_dedup,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality.ORACLE,
+    "op2_sentence_span_dedup": span_dedup.ORACLE,
     "op3_chat_prefix_targets": chat.ORACLE,
     "op6_warc_round_trip": warc.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
