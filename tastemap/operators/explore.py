@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import genre_set, is_rated
+from ..functions import genre_set
 
 
 def _ranked(df: DataFrame, *order: F.Column, name: str = "rank") -> DataFrame:
@@ -99,18 +99,18 @@ def unrated_items(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     return movies.join(rated, "movieId", "left_anti")
 
 
-UNRATED_NOT_IN_SQL = """
-SELECT *
-FROM movies
-WHERE movieId NOT IN (SELECT movieId FROM {ratings})
-"""
-
+def unrated_items_not_in(movies: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Movie rows under ``NOT IN`` semantics: those without a rating, but none at all as soon
+    as one rated id is NULL; a movie whose own id is NULL only passes an empty rating table.
 
-def unrated_items_not_in(spark: SparkSession, ratings_view: str = "ratings") -> DataFrame:
-    """Literal ``NOT IN`` form over registered views: a NULL rated id yields no rows."""
-    if not ratings_view.replace("_", "").isalnum():
-        raise ValueError(f"not a view name: {ratings_view!r}")
-    return spark.sql(UNRATED_NOT_IN_SQL.format(ratings=ratings_view))
+    A null-aware anti-join would broadcast the rated ids whatever their number. Here they
+    are a plain anti-join on distinct ids, and one row of two flags decides the rest.
+    """
+    flags = ratings.agg(F.count(F.when(F.col("movieId").isNull(), True)).alias("_nulls"),
+                        F.count(F.lit(1)).alias("_rows")).withColumn("_one", F.lit(1))
+    left = unrated_items(movies.withColumn("_one", F.lit(1)), ratings)
+    allowed = (F.col("_nulls") == 0) & (F.col("movieId").isNotNull() | (F.col("_rows") == 0))
+    return left.join(F.broadcast(flags), "_one").where(allowed).select(*movies.columns)
 
 
 # Q7 / Q8 ----------------------------------------------------------------------
@@ -169,12 +169,13 @@ def rating_histogram(ratings: DataFrame) -> DataFrame:
 # Q11 --------------------------------------------------------------------------
 def user_history(ratings: DataFrame, movies: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Ratings of the requested users (all users when ``users`` is None) with the
-    movie columns, ordered by user, rating descending, item.
+    movie columns and the rating time, ordered by user, rating descending, item.
 
     ``users`` is a DataFrame with a ``userId`` column; it is applied as a semi-join,
     so a batch of any size works the same way as a single id.
     """
-    r = ratings.select("userId", "movieId", F.col("rating").cast("double").alias("rating"))
+    keep = ["ts"] if "ts" in ratings.columns else []
+    r = ratings.select("userId", "movieId", F.col("rating").cast("double").alias("rating"), *keep)
     if users is not None:
         r = r.join(users.select("userId").distinct(), "userId", "left_semi")
     out = r.join(movies.select("movieId", "title", "genres"), "movieId", "left")
@@ -185,8 +186,3 @@ def user_history(ratings: DataFrame, movies: DataFrame, users: DataFrame | None
 def run_sql(spark: SparkSession, text: str, **params) -> DataFrame:
     """Run SQL with named parameter markers (``:name``) instead of pasted values."""
     return spark.sql(text, args=params or None)
-
-
-def is_rated_flag(df: DataFrame, rating_col: str = "rating") -> DataFrame:
-    """P5: add the 0/1 ``rated`` flag column."""
-    return df.withColumn("rated", is_rated(rating_col))

@@ -43,49 +43,56 @@ def _q_min(spark, d):
 
 @query("items_rated_once")
 def _q_once(spark, d):
-    return X.items_rated_once(load_tables(spark, d).ratings_sparse)
+    return X.items_rated_once(load_tables(spark, d).ratings)
 
 
 @query("user_count")
 def _q_users(spark, d):
     t = load_tables(spark, d)
-    return X.user_count(t.ratings_sparse, t.tags)
+    return X.user_count(t.ratings, t.tags)
 
 
 @query("item_count")
 def _q_items(spark, d):
     t = load_tables(spark, d)
-    return X.item_count(t.movies, t.ratings_sparse, t.links, t.tags)
+    return X.item_count(t.movies, t.ratings, t.links, t.tags)
 
 
 @query("rated_item_counts")
 def _q_rated(spark, d):
     t = load_tables(spark, d)
-    return X.rated_item_counts(t.movies, t.ratings_sparse, t.links, t.tags)
+    return X.rated_item_counts(t.movies, t.event_ratings, t.links, t.tags)
 
 
 @query("unrated_items")
 def _q_unrated(spark, d):
     t = load_tables(spark, d)
-    return X.unrated_items(t.movies, t.ratings_sparse)
+    return X.unrated_items(t.movies, t.event_ratings)
 
 
 @query("unrated_items_not_in")
 def _q_unrated_not_in(spark, d):
+    t = load_tables(spark, d)
+    return X.unrated_items_not_in(t.movies, t.event_ratings)
+
+
+@query("sql_title_counts")
+def _q_sql(spark, d):
     register_views(spark, load_tables(spark, d))
-    return X.unrated_items_not_in(spark, "ratings_sparse")
+    return X.run_sql(spark, "SELECT m.title, count(*) AS n_high FROM ratings AS r JOIN movies AS m "
+                            "USING (movieId) WHERE r.rating >= :low GROUP BY m.title", low=4.5)
 
 
 @query("top_reviewed")
 def _q_top_reviewed(spark, d):
     t = load_tables(spark, d)
-    return X.top_reviewed(t.movies, t.ratings_sparse, 100)
+    return X.top_reviewed(t.movies, t.ratings, 100)
 
 
 @query("top_rated")
 def _q_top_rated(spark, d):
     t = load_tables(spark, d)
-    return X.top_rated(t.movies, t.ratings_sparse, 100)
+    return X.top_rated(t.movies, t.ratings, 100)
 
 
 @query("genre_counts")
@@ -154,7 +161,7 @@ def _q_flags(spark, d):
 @query("most_rated_left")
 def _q_fallback_a(spark, d):
     t = load_tables(spark, d)
-    return P.most_rated_left(t.movies, t.ratings_sparse, 10)
+    return P.most_rated_left(t.movies, t.ratings, 10)
 
 
 @query("most_rated_inner")

@@ -6,8 +6,7 @@ quantity gives a half-star rating, and the event stream carries the tags. Both
 Spark and the DuckDB oracles build the same rows from these definitions.
 
 All views are lazy DataFrames. Each reads only the columns it needs, so the
-parquet scans prune columns and take the filters of ``ratings_sparse`` as
-pushed predicates.
+parquet scans prune columns.
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values that define the sparse rating set.
-SPARSE_PRIORITY = "1-URGENT"
-SPARSE_RETURNFLAG = "R"
+# Fixed values of the views.
 NO_GENRES = "(no genres listed)"
 NO_GENRES_SIZE = 50
 
@@ -28,19 +25,24 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ratings_from(orders: DataFrame, lineitem: DataFrame, sparse: bool = False) -> DataFrame:
+def ratings_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One row per (user, item): the highest half-star rating and latest order date."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    if sparse:
-        o = o.where(F.col("o_orderpriority") == SPARSE_PRIORITY)
-        li = li.where(F.col("l_returnflag") == SPARSE_RETURNFLAG)
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     joined = o.join(li, o.o_orderkey == li.l_orderkey)
     return (joined.groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"))
             .agg(F.max(F.ceil(F.col("l_quantity") / 5) * F.lit(0.5)).alias("rating"),
                  F.max("o_orderdate").alias("ts")))
 
 
+def event_ratings_from(tags: DataFrame) -> DataFrame:
+    """Implicit ratings from the whole event stream: half a star per event of a user with an
+    item, five at most. It covers few items, so it leaves unrated ones without any filter."""
+    return (tags.groupBy("userId", "movieId")
+            .agg(F.least(F.count(F.lit(1)) * F.lit(0.5), F.lit(5.0)).alias("rating"),
+                 F.max("ts").alias("ts")))
+
+
 def movies_from(part: DataFrame) -> DataFrame:
     return part.select(
         F.col("p_partkey").alias("movieId"),
@@ -65,13 +67,13 @@ def links_from(lineitem: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """The four logical tables plus the sparse rating set, built on first use.
+    """The four logical tables plus the event ratings, built on first use.
 
     Each source file is opened (file listing and footer read) only when a view
     that needs it is first asked for, so a query pays only for its own inputs.
     """
 
-    NAMES = ("ratings", "ratings_sparse", "movies", "links", "tags")
+    NAMES = ("ratings", "event_ratings", "movies", "links", "tags")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
@@ -93,8 +95,8 @@ class Tables:
         return ratings_from(self._orders, self._lineitem)
 
     @cached_property
-    def ratings_sparse(self) -> DataFrame:
-        return ratings_from(self._orders, self._lineitem, sparse=True)
+    def event_ratings(self) -> DataFrame:
+        return event_ratings_from(self.tags)
 
     @cached_property
     def movies(self) -> DataFrame:

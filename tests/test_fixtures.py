@@ -31,8 +31,12 @@ def ratings(spark):
 
 def test_not_in_with_null_key_is_empty_but_anti_join_is_not(spark, movies, ratings):
     with_null = ratings.unionByName(spark.createDataFrame([(13, None, 3.0)], ratings.schema))
-    register_views(spark, {"movies": movies, "ratings_null": with_null})
-    assert X.unrated_items_not_in(spark, "ratings_null").count() == 0
+    assert X.unrated_items_not_in(movies, with_null).count() == 0
+    assert sorted(r["movieId"] for r in X.unrated_items_not_in(movies, ratings).collect()) == [4, 6]
+    assert X.unrated_items_not_in(movies, ratings.limit(0)).count() == movies.count()
+    odd = movies.unionByName(spark.createDataFrame([(None, "No id", "Drama")], movies.schema))
+    assert X.unrated_items_not_in(odd, ratings).count() == 2
+    assert X.unrated_items_not_in(odd, ratings.limit(0)).count() == odd.count()
     ids = sorted(r["movieId"] for r in X.unrated_items(movies, with_null).collect())
     assert ids == [4, 6]
 
