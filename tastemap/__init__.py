@@ -1,9 +1,10 @@
 """tastemap: rating analytics and recommendation as Spark DataFrame jobs.
 
-Every public function takes DataFrames (or a SparkSession plus a location)
-and returns a lazy DataFrame; nothing is collected unless it is a bounded
-result (a scalar, a ``limit k`` report or a size-checked broadcast side).
+Every public function takes DataFrames (or a SparkSession plus a location) and
+returns a DataFrame. Exploration and quality functions are lazy; fits, scorers,
+tuning and serving run jobs and write intermediate tables. Only bounded results are
+collected: scalars, reports, and broadcast chunks of a set size.
 """
 
 __all__ = ["__version__"]
-__version__ = "0.1.0"
+__version__ = "0.2.0"

@@ -2,9 +2,9 @@
 inside whole-stage code generation (no Python UDF on any hot path)."""
 
 from .genres import genre_set, genre_tokens
-from .scalar import clip, is_rated, round_half_up
+from .scalar import clip, one_key
 from .text import join_ranked
-from .vectors import cosine, dot, norm, unpack
+from .vectors import dot, unpack
 
-__all__ = ["genre_set", "genre_tokens", "clip", "is_rated", "round_half_up", "join_ranked",
-           "cosine", "dot", "norm", "unpack"]
+__all__ = ["genre_set", "genre_tokens", "clip", "one_key", "join_ranked",
+           "dot", "unpack"]

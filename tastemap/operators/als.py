@@ -4,21 +4,25 @@ ALS is Spark's own blocked, distributed solver: ratings are hash-partitioned
 into user and item blocks, every iteration exchanges factor blocks, and with a
 checkpoint folder set the factor lineage is cut every ``checkpoint_interval``
 iterations (so a lost executor does not replay the whole fit). Ids must be
-32-bit ints: ``clean_ratings`` converts them with ``try_cast``.
+32-bit ints; wider ids are numbered densely for the fit (``dense_ids``).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dot, one_key
+from ..session import materialize
 from .popularity import most_rated_left
-from .scoring import DEFAULT_CHUNK_ROWS, topk_scores
+from .scoring import topk_scores
 
-DEFAULT_SEED = 202112
+DEFAULT_SEED = 4711
 
 # Fold / split hash: stable, reproducible by SQL as pmod(31*userId + 17*movieId, n).
 HASH_USER_WEIGHT = 31
@@ -26,12 +30,6 @@ HASH_ITEM_WEIGHT = 17
 
 
 # M1 ---------------------------------------------------------------------------------
-def split_random(ratings: DataFrame, test_fraction: float = 0.2, seed: int = DEFAULT_SEED):
-    """Random split with a seed (train, test)."""
-    train, test = ratings.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
-    return train, test
-
-
 def hash_bucket(n: int, user: str = "userId", item: str = "movieId"):
     """Deterministic bucket of a (user, item) pair in 0..n-1, the same in SQL."""
     return F.pmod(F.lit(HASH_USER_WEIGHT) * F.col(user).cast("bigint")
@@ -55,36 +53,90 @@ def make_als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, *,
               checkpointInterval=checkpoint_interval)
     # One block per task slot: ALS's own default (10) is too many for a small
     # machine and far too few for a cluster.
-    if not blocks:
-        active = SparkSession.getActiveSession()
-        blocks = active.sparkContext.defaultParallelism if active is not None else None
     if blocks:
         als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als
 
 
-def fit_persisted(estimator: ALS, rows: DataFrame) -> ALSModel:
+RATINGS_PER_BLOCK = 5_000_000
+
+
+def sized(estimator: ALS, spark: SparkSession, n_rows: int) -> ALS:
+    """Give the estimator one block per task slot, and more where the data need it, unless
+    it has its own. The session is the data's: worker threads have no active one."""
+    if not estimator.isSet(estimator.numUserBlocks):
+        blocks = max(spark.sparkContext.defaultParallelism, -(-n_rows // RATINGS_PER_BLOCK))
+        estimator.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+    return estimator
+
+
+MAX_ID = (1 << 31) - 1
+
+
+def dense_ids(ids: DataFrame, column: str) -> DataFrame:
+    """``column, dense int``: distinct ids numbered from 0, without a global sort or window."""
+    spark = ids.sparkSession
+    numbered = ids.select(F.col(column).cast("bigint").alias(column)).distinct().rdd.map(lambda r: r[0]).zipWithIndex()
+    out = materialize(spark.createDataFrame(numbered, f"{column} bigint, dense bigint"), f"dense-{column}")
+    if out.count() > MAX_ID + 1:
+        raise ValueError(f"more than {MAX_ID + 1} distinct values of {column}")
+    return out.withColumn("dense", F.col("dense").cast("int"))
+
+
+@dataclass
+class FactorModel:
+    """An ALS fit with the caller's ids: ``userFactors`` and ``itemFactors`` hold ``id,
+    features``; ``als`` is Spark's own model (of dense ids if some id exceeds 32 bits)."""
+
+    userFactors: DataFrame
+    itemFactors: DataFrame
+    als: ALSModel | None
+    rank: int
+
+
+def fit_persisted(estimator: ALS, rows: DataFrame) -> FactorModel:
     """Fit with the input kept for the length of the fit: ALS reads its input more
     than once (to size and to block the ratings), and each read would otherwise
-    recompute the input's lineage. ALS materialises its own factors, so the
-    input is released right after."""
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    recompute the input's lineage. Ids beyond 32 bits are numbered densely for the fit
+    and come back in the factors."""
+    value = estimator.getRatingCol()
+    spark = rows.sparkSession
+    kept = rows.select(F.col("userId").cast("bigint").alias("userId"), F.col("movieId").cast("bigint").alias("movieId"),
+                       value).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(kept)
+        span = kept.agg(F.count(F.lit(1)).alias("n"), *(f(c) for c in ("userId", "movieId") for f in (F.min, F.max))).first()
+        wide = span["n"] and max(abs(x) for x in span[1:]) > MAX_ID
+        maps = {c: dense_ids(kept, c) for c in ("userId", "movieId")} if wide else {}
+        fit_rows = kept
+        for c, m in maps.items():
+            fit_rows = fit_rows.join(m, c).drop(c).withColumnRenamed("dense", c)
+        fit_rows = fit_rows.select(F.col("userId").cast("int").alias("userId"),
+                                   F.col("movieId").cast("int").alias("movieId"), value)
+        model = sized(estimator, spark, span["n"]).fit(fit_rows)
     finally:
         kept.unpersist()
 
+    def own(factors: DataFrame, column: str) -> DataFrame:
+        if column not in maps:
+            return factors.select(F.col("id").cast("bigint").alias("id"), "features")
+        return factors.join(maps[column], F.col("id") == F.col("dense")).select(F.col(column).alias("id"), "features")
+
+    return FactorModel(own(model.userFactors, "userId"), own(model.itemFactors, "movieId"), model, model.rank)
+
 
 def fit_als(train: DataFrame, rank: int = 10, max_iter: int = 10, reg_param: float = 0.1,
-            **kwargs) -> ALSModel:
+            **kwargs) -> FactorModel:
     return fit_persisted(make_als(rank, max_iter, reg_param, **kwargs),
                          train.select("userId", "movieId", kwargs.get("rating_col", "rating")))
 
 
 # M6 / A11 -----------------------------------------------------------------------------
-def predict(model: ALSModel, rows: DataFrame) -> DataFrame:
-    """Predictions; with cold start "drop", rows of unknown users/items vanish."""
-    return model.transform(rows)
+def predict(model: FactorModel, rows: DataFrame) -> DataFrame:
+    """``rows`` + ``prediction``; rows of unknown users or items vanish (cold start "drop")."""
+    uf = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("_p"))
+    itf = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("_q"))
+    out = rows.join(uf, "userId").join(itf, "movieId")
+    return out.withColumn("prediction", dot("_p", "_q").cast("float")).drop("_p", "_q")
 
 
 def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "prediction") -> float:
@@ -101,8 +153,8 @@ def rmse_frame(predictions: DataFrame, label: str = "rating", prediction: str =
 
 
 # R1 / R2 ------------------------------------------------------------------------------
-def _top_items(model: ALSModel, users: DataFrame | None, k: int,
-               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def _top_items(model: FactorModel, users: DataFrame | None, k: int,
+               chunk_rows: int | None = None) -> DataFrame:
     """Top-k items by predicted rating (``p_u . q_i``), ties to the lower item id.
 
     Same ranking as ``recommendForAllUsers`` / ``recommendForUserSubset``, but
@@ -117,19 +169,17 @@ def _top_items(model: ALSModel, users: DataFrame | None, k: int,
                       F.col("score").alias("predicted_rating"))
 
 
-def recommend_all(model: ALSModel, k: int = 10, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def recommend_all(model: FactorModel, k: int = 10, chunk_rows: int | None = None) -> DataFrame:
     """R2: top-k for every user of the model, one row per (user, rank)."""
     return _top_items(model, None, k, chunk_rows)
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataFrame,
+def recommend_for_users(model: FactorModel, users: DataFrame, k: int, movies: DataFrame,
                         ratings: DataFrame) -> DataFrame:
     """R1 for a batch of users.
 
     Users the model knows get its top-k (only their factor rows are scored).
-    Others get the most-rated list (fallback A): that list is a
-    ``limit k`` result, so it is collected once and attached as a literal array,
-    not joined. Columns: ``userId, is_known, rank, movieId, predicted_rating,
+    Others get the most-rated list (fallback A), joined as one row of k entries. Columns: ``userId, is_known, rank, movieId, predicted_rating,
     title, genres``.
     """
     req = users.select(F.col("userId").try_cast("bigint").alias("userId")).where(
@@ -145,27 +195,24 @@ def recommend_for_users(model: ALSModel, users: DataFrame, k: int, movies: DataF
                        F.col("predicted_rating").cast("double").alias("predicted_rating"),
                        "title", "genres")
 
-    # the fallback list costs an aggregation over all ratings: only when needed
-    has_unknown = unknown.limit(1).count() > 0
-    fallback = most_rated_left(movies, ratings, k).orderBy("rank").collect() if has_unknown else []
-    lit_rows = F.array(*[F.struct(F.lit(r["rank"]).cast("int").alias("rank"),
-                                  F.lit(r["movieId"]).cast("int").alias("movieId"),
-                                  F.lit(r["title"]).cast("string").alias("title"),
-                                  F.lit(r["genres"]).cast("string").alias("genres"))
-                         for r in fallback]) if fallback else F.array().cast(
-        "array<struct<rank:int,movieId:int,title:string,genres:string>>")
-    fb = (unknown.select("userId", F.explode(lit_rows).alias("f"))
-          .select("userId", F.lit(False).alias("is_known"), F.col("f.rank").alias("rank"),
-                  F.col("f.movieId").cast("bigint").alias("movieId"),
-                  F.lit(None).cast("double").alias("predicted_rating"),
-                  F.col("f.title").alias("title"), F.col("f.genres").alias("genres")))
+    fallback = most_rated_left(movies, ratings, k).select(F.collect_list(
+        F.struct("rank", F.col("movieId").cast("bigint").alias("movieId"), "title", "genres")).alias("list"))
+    fallback = fallback.withColumn("_one", one_key("list"))  # one row of k entries
+    fb = (unknown.withColumn("_one", one_key("userId")).join(F.broadcast(fallback), "_one")
+          .select("userId", F.explode("list").alias("f"))
+          .select("userId", F.lit(False).alias("is_known"), F.col("f.rank").alias("rank"), "f.movieId",
+                  F.lit(None).cast("double").alias("predicted_rating"), "f.title", "f.genres"))
     return recs.unionByName(fb)
 
 
 # S9 -----------------------------------------------------------------------------------
-def save_model(model: ALSModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: FactorModel, path: str) -> None:
+    """The factors as two parquet tables."""
+    model.userFactors.write.mode("overwrite").parquet(f"{path}/user_factors")
+    model.itemFactors.write.mode("overwrite").parquet(f"{path}/item_factors")
 
 
-def load_model(path: str) -> ALSModel:
-    return ALSModel.load(path)
+def load_model(spark: SparkSession, path: str) -> FactorModel:
+    uf, itf = (spark.read.parquet(f"{path}/{n}") for n in ("user_factors", "item_factors"))
+    row = itf.select(F.size("features")).first()
+    return FactorModel(uf, itf, None, row[0] if row else 0)

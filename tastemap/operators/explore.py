@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import genre_set
+from ..functions import genre_set, one_key
 
 
 def _ranked(df: DataFrame, *order: F.Column, name: str = "rank") -> DataFrame:
@@ -107,8 +107,8 @@ def unrated_items_not_in(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     are a plain anti-join on distinct ids, and one row of two flags decides the rest.
     """
     flags = ratings.agg(F.count(F.when(F.col("movieId").isNull(), True)).alias("_nulls"),
-                        F.count(F.lit(1)).alias("_rows")).withColumn("_one", F.lit(1))
-    left = unrated_items(movies.withColumn("_one", F.lit(1)), ratings)
+                        F.count(F.lit(1)).alias("_rows")).withColumn("_one", one_key("_rows"))
+    left = unrated_items(movies, ratings).withColumn("_one", one_key("movieId"))
     allowed = (F.col("_nulls") == 0) & (F.col("movieId").isNotNull() | (F.col("_rows") == 0))
     return left.join(F.broadcast(flags), "_one").where(allowed).select(*movies.columns)
 

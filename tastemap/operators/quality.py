@@ -45,17 +45,27 @@ def validate(tables: dict[str, DataFrame], required: dict[str, list[str]] | None
 
 
 def clean_ratings(ratings: DataFrame) -> DataFrame:
-    """P1-P3 for model input: ``userId int, movieId int, rating float``.
+    """P1-P3 for model input: ``userId bigint, movieId bigint, rating float``.
 
-    Ids are converted with ``try_cast`` to 32-bit ints (ALS needs them; an id above
-    2^31-1 becomes NULL rather than failing), the rating to float; rows with any
-    NULL are dropped; the timestamp is dropped.
+    Ids keep their full range (``operators.als`` numbers them densely where Spark's ALS
+    needs 32 bits); only rows with a missing or malformed value are dropped, and
+    ``rejected_ratings`` counts them. The timestamp is dropped.
     """
-    typed = ratings.select(
-        F.col("userId").try_cast("int").alias("userId"),
-        F.col("movieId").try_cast("int").alias("movieId"),
+    return _typed(ratings).na.drop("any")
+
+
+def _typed(ratings: DataFrame) -> DataFrame:
+    return ratings.select(
+        F.col("userId").try_cast("bigint").alias("userId"),
+        F.col("movieId").try_cast("bigint").alias("movieId"),
         F.col("rating").try_cast("float").alias("rating"))
-    return typed.na.drop("any")
+
+
+def rejected_ratings(ratings: DataFrame) -> DataFrame:
+    """One row: ``n_rows, n_kept, n_rejected`` of ``clean_ratings``."""
+    bad = F.col("userId").isNull() | F.col("movieId").isNull() | F.col("rating").isNull()
+    out = _typed(ratings).agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, True)).alias("n_rejected"))
+    return out.select("n_rows", (F.col("n_rows") - F.col("n_rejected")).alias("n_kept"), "n_rejected")
 
 
 def preview(df: DataFrame, key: str | list[str], n: int = 5) -> DataFrame:
@@ -83,3 +93,12 @@ def describe_numeric(df: DataFrame, cols: list[str], digits: int = 6) -> DataFra
         f"stack({len(cols)}, {stack_args}) AS (column_name, n, mean, stddev, min, max)")
     return long.select("column_name", "n",
                        *[F.round(F.col(c), digits).alias(c) for c in ("mean", "stddev", "min", "max")])
+
+
+def describe_strings(df: DataFrame, cols: list[str]) -> DataFrame:
+    """S7 for string columns: count, smallest and largest value per column, long form."""
+    wide = df.agg(*[a for c in cols for a in (
+        F.count(c).alias(f"{c}__n"), F.min(F.col(c).cast("string")).alias(f"{c}__min"),
+        F.max(F.col(c).cast("string")).alias(f"{c}__max"))])
+    args = ", ".join(f"'{c}', `{c}__n`, `{c}__min`, `{c}__max`" for c in cols)
+    return wide.selectExpr(f"stack({len(cols)}, {args}) AS (column_name, n, min, max)")

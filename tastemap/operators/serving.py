@@ -2,24 +2,21 @@
 
 A request is ``(userId, n)``. Users found in the ratings table are scored by the
 biased model (R3); the others get the most-rated titles (fallback B). The answer
-is one row per request: ``userId, n, is_known, titles`` with titles joined by
+is one row per request: ``userId, n, is_known, status, titles``, titles joined by
 " | " in rank order. It is the request/response logic of a small web form run
 as one Spark job over any number of requests.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import join_ranked
+from ..functions import one_key
+from ..session import materialize
 from .biased_mf import BiasedMF, recommend_biased
 from .popularity import most_rated_inner
 
-MAX_N = 10_000
-
-
 def known_flags(requests: DataFrame, ratings: DataFrame) -> DataFrame:
     """``is_known`` per requested user, by a join with the distinct rated users."""
     users = ratings.select(F.col("userId").cast("bigint").alias("userId")).distinct() \
@@ -29,39 +26,47 @@ def known_flags(requests: DataFrame, ratings: DataFrame) -> DataFrame:
         "is_known", F.coalesce("is_known", F.lit(False)))
 
 
-def fallback_titles(movies: DataFrame, ratings: DataFrame, n: int) -> list[str]:
-    """Most-rated titles in rank order: a ``limit n`` result, collected."""
-    rows = most_rated_inner(movies, ratings, n).orderBy("rank").select("title").collect()
-    return [r["title"] for r in rows]
+def _titles_up_to(titles: str, n: str) -> F.Column:
+    return F.array_join(F.slice(F.col(titles), F.lit(1), F.least(F.col(n), F.size(titles))), " | ")
 
 
 def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    req = requests.select(F.col("userId").cast("bigint").alias("userId"),
-                          F.col("n").cast("int").alias("n")).where(
-        F.col("userId").isNotNull() & (F.col("n") > 0))
-    # request-sized, read by both branches and by the sizing step: keep it
-    flagged = known_flags(req, ratings).persist(StorageLevel.MEMORY_AND_DISK)
-    max_n = flagged.agg(F.max("n")).first()[0] or 0
-    if max_n > MAX_N:
-        raise ValueError(f"n above {MAX_N} requested")
-
-    known = flagged.where("is_known")
-    if max_n:
-        recs = recommend_biased(model, known.select("userId"), movies, max_n)
-        per_user = (known.join(recs, "userId").where(F.col("rank") <= F.col("n"))
-                    .groupBy("userId", "n").agg(join_ranked("rank", "title").alias("titles")))
-        answered = known.select("userId", "n").join(per_user, ["userId", "n"], "left")
-    else:
-        answered = known.select("userId", "n", F.lit(None).cast("string").alias("titles"))
-    answered = answered.select("userId", "n", F.lit(True).alias("is_known"),
-                               F.coalesce("titles", F.lit("")).alias("titles"))
+    """One row per request: ``userId, n, is_known, status, titles``.
 
+    ``status``: ``ok``, ``fallback`` (unknown user) or ``invalid`` (no user, or n not
+    positive; no titles). Each distinct user is scored once, in the class (power of two)
+    of the largest n asked for, and the list is cut per request, so repeated requests and
+    several n for one user get what each asked for.
+    """
+    req = requests.select(F.col("userId").cast("bigint").alias("userId"), F.col("n").cast("int").alias("n"))
+    valid = F.coalesce(F.col("userId").isNotNull() & (F.col("n") > 0), F.lit(False))
+    flagged = materialize(known_flags(req.where(valid), ratings), "requests")
+    users = flagged.where("is_known").groupBy("userId").agg(F.max("n").alias("most")) \
+        .withColumn("size", F.ceil(F.log2("most")).cast("int"))
+    users = materialize(users, "request-users")
+    lists = None
+    for row in users.select("size").distinct().orderBy("size").collect():  # at most 32 classes
+        part = users.where(F.col("size") == row["size"])
+        recs = recommend_biased(model, part.select("userId"), movies, 1 << row["size"])
+        lists = recs if lists is None else lists.unionByName(recs)
+    answers = []
+    if lists is not None:
+        per_user = lists.groupBy("userId").agg(F.transform(
+            F.sort_array(F.collect_list(F.struct("rank", "title"))), lambda x: x["title"]).alias("all_titles"))
+        answers.append(flagged.where("is_known").join(per_user, "userId", "left").select(
+            "userId", "n", F.lit(True).alias("is_known"), F.lit("ok").alias("status"),
+            F.coalesce(_titles_up_to("all_titles", "n"), F.lit("")).alias("titles")))
     unknown = flagged.where(~F.col("is_known"))
-    # the fallback list costs an aggregation over all ratings: only when needed
-    any_unknown = max_n > 0 and unknown.limit(1).count() > 0
-    titles = fallback_titles(movies, ratings, max_n) if any_unknown else []
-    lit_titles = F.array(*[F.lit(t) for t in titles]) if titles else F.array().cast("array<string>")
-    unknown = unknown.select(
-        "userId", "n", F.lit(False).alias("is_known"),
-        F.array_join(F.slice(lit_titles, 1, F.col("n")), " | ").alias("titles"))
-    return answered.unionByName(unknown)
+    most = unknown.agg(F.max("n")).first()[0]
+    if most:  # one row of at most `most` titles
+        top = most_rated_inner(movies, ratings, most).agg(F.transform(
+            F.sort_array(F.collect_list(F.struct("rank", "title"))), lambda x: x["title"]).alias("all_titles"))
+        answers.append(unknown.withColumn("_one", one_key("userId")).join(
+            F.broadcast(top.withColumn("_one", one_key("all_titles"))), "_one")
+                       .select("userId", "n", F.lit(False).alias("is_known"), F.lit("fallback").alias("status"),
+                               _titles_up_to("all_titles", "n").alias("titles")))
+    out = req.where(~valid).select("userId", "n", F.lit(False).alias("is_known"), F.lit("invalid").alias("status"),
+                                   F.lit("").alias("titles"))
+    for part in answers:
+        out = out.unionByName(part)
+    return out

@@ -21,6 +21,7 @@ from ..operators import quality as QC
 from ..operators import serving as SRV
 from ..operators import similarity as SIM
 from ..operators import tuning as TUNE
+from ..session import materialize
 from ..sources.views import load_item_factors, load_tables, register_views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -202,7 +203,7 @@ TOP_N = 10
 
 def _train_test(spark, d):
     t = load_tables(spark, d)
-    clean = QC.clean_ratings(t.ratings)
+    clean = materialize(QC.clean_ratings(t.ratings), "clean-ratings")  # both parts read the same rows
     train, test = ALSOPS.split_hash(clean, 5, 0)
     return t, train, test
 
@@ -304,6 +305,69 @@ def _q_serve(spark, d):
     return SRV.serve(req, model, t.movies, t.ratings)
 
 
+# Bias-only forms (rank 0), which SQL can state, over requests from given tables.
+def _bias_model(train):
+    return BMF.fit_biased_mf(train, rank=0)
+
+
+@query("bias_recommend")
+def _q_bias_rec(spark, d):
+    t, train, _ = _train_test(spark, d)
+    out = BMF.recommend_biased(_bias_model(train), _requests(t), t.movies, TOP_N)
+    return out.withColumn("estimate_rating", F.round("estimate_rating", 6))
+
+
+def _part_requests(spark, d):
+    """Part keys as user ids (some known, some not), twice with other counts: repeats,
+    several n per user, and n = 0."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    n = F.pmod(F.col("p_size"), F.lit(7)).cast("int").alias("n")
+    half = F.floor(F.col("p_partkey") / 2).cast("bigint").alias("userId")
+    return part.select(F.col("p_partkey").alias("userId"), n).unionByName(part.select(half, n))
+
+
+@query("serve_bias_requests")
+def _q_serve_bias(spark, d):
+    t, train, _ = _train_test(spark, d)
+    return SRV.serve(_part_requests(spark, d), _bias_model(train), t.movies, t.ratings)
+
+
+@query("bias_tuning_report")
+def _q_bias_tuning(spark, d):
+    _, train, _ = _train_test(spark, d)
+    points = TUNE.grid(lambda_item=[5.0, 10.0], lambda_user=[5.0, 15.0])
+
+    def fit_eval(fit_rows, eval_rows, p):
+        mu, bi, bu = BMF.bias_baseline(fit_rows, p["lambda_item"], p["lambda_user"])
+        return ALSOPS.rmse(BMF.baseline_predict(mu, bi, bu, eval_rows), prediction="estimate")
+    out = TUNE.cross_validate(train, points, fit_eval, n_folds=3, fold=ALSOPS.hash_bucket(3).cast("int"))
+    return out.select("grid_id", "fold", F.round("rmse", 6).alias("rmse"),
+                      F.round("avg_rmse", 6).alias("avg_rmse"), "is_best")
+
+
+@query("rejected_ratings")
+def _q_rejected(spark, d):
+    return QC.rejected_ratings(load_tables(spark, d).ratings)
+
+
+@query("movie_text_summary")
+def _q_text_summary(spark, d):
+    return QC.describe_strings(load_tables(spark, d).movies, ["title", "genres"])
+
+
+@query("similar_for_targets")
+def _q_sim_targets(spark, d):
+    t = load_tables(spark, d)
+    targets = t.tags.select((F.col("movieId") * 30).alias("movieId")).distinct()
+    return SIM.similar_by_genres(t.movies, TOP_N, targets=targets)
+
+
+@query("user_history_for_users")
+def _q_history_users(spark, d):
+    t = load_tables(spark, d)
+    return X.user_history(t.ratings, t.movies, t.tags.select((F.col("userId") * 7).alias("userId")))
+
+
 @query("fallback_titles")
 def _q_fallback_titles(spark, d):
     t = load_tables(spark, d)

@@ -273,3 +273,83 @@ FROM (SELECT m.movieId, m.title, c.n_ratings
       ORDER BY c.n_ratings DESC, m.movieId
       LIMIT 10)
 """)
+
+ORACLES["bias_recommend"] = _q(_SPLIT + """
+, items AS (
+  SELECT m.movieId, m.title, m.genres, coalesce(b_i, 0) AS b_i,
+         row_number() OVER (ORDER BY round(coalesce(b_i, 0), 12) DESC, m.movieId)::INTEGER AS rank
+  FROM movies AS m LEFT JOIN bi USING (movieId)),
+req AS (SELECT DISTINCT userId FROM tags WHERE userId IS NOT NULL)
+SELECT userId, rank, items.movieId, title, genres,
+       round(least(5.0, greatest(1.0, mu + coalesce(b_u, 0) + b_i)), 6) AS estimate_rating
+FROM req LEFT JOIN bu USING (userId), items, mu WHERE rank <= 10
+""")
+
+ORACLES["serve_bias_requests"] = _q(_SPLIT + """
+, best AS (
+  SELECT list(title ORDER BY round(coalesce(b_i, 0), 12) DESC, m.movieId) AS v
+  FROM movies AS m LEFT JOIN bi USING (movieId)),
+most AS (SELECT list(title ORDER BY n_ratings DESC, movieId) AS v FROM per_item JOIN movies USING (movieId)),
+req AS (
+  SELECT p_partkey AS userId, (p_size % 7)::INTEGER AS n FROM part
+  UNION ALL SELECT p_partkey // 2, (p_size % 7)::INTEGER FROM part),
+told AS (SELECT req.*, req.userId IN (SELECT userId FROM ratings) AS known FROM req)
+SELECT userId, n, known AND n > 0 AS is_known,
+       CASE WHEN n <= 0 THEN 'invalid' WHEN known THEN 'ok' ELSE 'fallback' END AS status,
+       CASE WHEN n <= 0 THEN '' ELSE
+         array_to_string(list_slice(CASE WHEN known THEN best.v ELSE most.v END, 1, n), ' | ') END AS titles
+FROM told, best, most
+""")
+
+
+def _bias_point(number: int, item: float, user: float, fold: int) -> str:
+    return f"""
+SELECT {number} AS grid_id, {fold} AS fold, (
+  WITH fit AS (SELECT * FROM folds WHERE fold <> {fold}), m AS (SELECT avg(rating::DOUBLE) AS mu FROM fit),
+  i AS (SELECT movieId, sum(rating - mu) / (count(*) + {item}) AS b_i FROM fit, m GROUP BY movieId),
+  u AS (SELECT userId, sum(rating - mu - b_i) / (count(*) + {user}) AS b_u FROM fit JOIN i USING (movieId), m
+        GROUP BY userId)
+  SELECT sqrt(avg(power(rating - least(5.0, greatest(1.0, mu + coalesce(b_u, 0) + coalesce(b_i, 0))), 2)))
+  FROM (SELECT * FROM folds WHERE fold = {fold}) LEFT JOIN u USING (userId) LEFT JOIN i USING (movieId), m) AS rmse"""
+
+
+ORACLES["bias_tuning_report"] = _q(
+    _SPLIT + ", folds AS (SELECT *, ((31 * userId::BIGINT + 17 * movieId::BIGINT) % 3 + 3) % 3 AS fold FROM train),\n"
+    "runs AS (" + "\nUNION ALL".join(
+        _bias_point(n, item, user, fold)
+        for n, (item, user) in enumerate([(5.0, 5.0), (5.0, 15.0), (10.0, 5.0), (10.0, 15.0)])
+        for fold in range(3)) + """),
+means AS (SELECT grid_id, avg(rmse) AS mean FROM runs GROUP BY grid_id)
+SELECT grid_id, fold, round(rmse, 6) AS rmse, round(mean, 6) AS avg_rmse,
+       grid_id = (SELECT grid_id FROM means ORDER BY mean, grid_id LIMIT 1) AS is_best
+FROM runs JOIN means USING (grid_id)
+""")
+
+ORACLES["rejected_ratings"] = _q("""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL)
+         AS n_kept,
+       count(*) FILTER (WHERE userId IS NULL OR movieId IS NULL OR rating IS NULL) AS n_rejected
+FROM ratings
+""")
+
+ORACLES["movie_text_summary"] = _q("""
+SELECT 'title' AS column_name, count(title) AS n, min(title) AS min, max(title) AS max FROM movies
+UNION ALL SELECT 'genres', count(genres), min(genres), max(genres) FROM movies
+""")
+
+ORACLES["similar_for_targets"] = _q(_GENRE_PAIRS + """
+, wanted AS (SELECT DISTINCT movieId * 30 AS target_id FROM tags WHERE movieId IS NOT NULL)
+SELECT target_id, movieId, title, genres, round(sim, 6) AS similarity, rank, true AS is_known
+FROM (SELECT pairs.*, row_number() OVER (PARTITION BY target_id ORDER BY sim DESC NULLS LAST, movieId)::INTEGER AS rank
+      FROM pairs SEMI JOIN wanted USING (target_id))
+WHERE rank <= 10
+UNION ALL
+SELECT target_id, NULL, NULL, NULL, NULL, NULL, false
+FROM wanted WHERE target_id NOT IN (SELECT movieId FROM movies)
+""")
+
+ORACLES["user_history_for_users"] = _q("""
+SELECT r.userId, r.movieId, r.rating, r.ts, m.title, m.genres
+FROM ratings AS r LEFT JOIN movies AS m ON r.movieId = m.movieId
+WHERE r.userId IN (SELECT 7 * userId FROM tags)
+""")

@@ -20,7 +20,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -33,30 +32,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = builder.config("spark.ui.enabled", "false")  # static: cannot be set later
     spark = builder.getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in _DEFAULTS.items():
+        if key not in given:
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a private scratch folder is created.
+    """The shared folder for checkpoints and scratch tables: the one given to
+    ``SparkContext.setCheckpointDir``, else ``spark.checkpoint.dir``. On a cluster one of
+    them is required; a local session without gets a private folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tastemap-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured
+    folder = sc.getCheckpointDir()
+    if folder:  # Spark appends a folder of its own to the one it was given
+        return os.path.dirname(folder.rstrip("/"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tastemap-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    sc.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -65,9 +70,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint folder and
     read it back: computed a single time, lineage cut, columnar to re-read."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    _written.append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the scratch tables written through this session; returns how many. For callers
+    that have read all results built on them."""
+    own = [x for x in _written if x[0] is spark]
+    for entry in own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(entry)
+    return len(own)

@@ -152,3 +152,40 @@ def test_wide_onehot_and_materialize(spark, movies):
     stored = materialize(wide, "wide-test")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, wide.collect()))
     assert spark.conf.get("spark.checkpoint.dir") in stored.inputFiles()[0]
+
+
+def test_ids_beyond_32_bits_lose_no_row(spark):
+    from tastemap.operators import als as A
+    far = 1 << 40
+    rows = [(u + far, i - far, float((u * i) % 5 + 1)) for u in range(8) for i in range(8)]
+    df = spark.createDataFrame(rows, "userId bigint, movieId bigint, rating double")
+    clean = QC.clean_ratings(df)
+    assert clean.count() == 64
+    assert QC.rejected_ratings(df).first()["n_rejected"] == 0
+    model = A.fit_als(clean, rank=2, max_iter=2)
+    assert A.predict(model, clean).count() == 64
+    assert {r["id"] for r in model.userFactors.collect()} == {u + far for u in range(8)}
+
+
+def test_repeated_requests_get_their_own_titles(spark):
+    from tastemap.operators import biased_mf as B
+    from tastemap.operators import serving as S
+    ratings = spark.createDataFrame([(u, i, float(i % 5 + 1)) for u in (1, 2) for i in range(1, 7)],
+                                    "userId bigint, movieId bigint, rating float")
+    movies = spark.createDataFrame([(i, f"m{i}", "x") for i in range(1, 7)], "movieId bigint, title string, genres string")
+    req = spark.createDataFrame([(1, 3), (1, 3), (1, 2), (9, 2), (None, 2), (2, 0)], "userId bigint, n int")
+    rows = S.serve(req, B.fit_biased_mf(ratings, rank=0), movies, ratings).collect()
+    assert len(rows) == 6
+    same = [r["titles"] for r in rows if (r["userId"], r["n"]) == (1, 3)]
+    assert len(same) == 2 and same[0] == same[1] and len(set(same[0].split(" | "))) == 3
+    assert sorted(r["status"] for r in rows) == ["fallback", "invalid", "invalid", "ok", "ok", "ok"]
+
+
+def test_checkpoint_folder_override_and_clean_up(spark):
+    from tastemap import session
+    df = session.materialize(spark.range(3).toDF("id"), "clean")
+    path = session._written[-1][1]
+    assert df.count() == 3 and path.startswith(session.ensure_checkpoint_dir(spark))
+    assert os.path.exists(path.removeprefix("file:"))
+    assert session.clean_up(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:"))

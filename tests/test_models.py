@@ -101,7 +101,7 @@ def test_same_seed_same_factors_and_save_load(spark, planted, movies):
     assert all(np.allclose(f1[k], f2[k], atol=1e-5) for k in f1)
     path = tempfile.mkdtemp(prefix="tastemap-model-")
     A.save_model(m1, os.path.join(path, "als"))
-    m3 = A.load_model(os.path.join(path, "als"))
+    m3 = A.load_model(spark, os.path.join(path, "als"))
     p1 = A.predict(m1, planted).select("userId", "movieId", "prediction").orderBy("userId", "movieId").collect()
     p3 = A.predict(m3, planted).select("userId", "movieId", "prediction").orderBy("userId", "movieId").collect()
     assert p1 == p3
@@ -181,7 +181,7 @@ def test_als_top_k_matches_builtin_ranking(spark, planted):
     for r in A.recommend_all(m, 5).collect():
         ours.setdefault(r["userId"], []).append((r["rank"], r["movieId"]))
     builtin = {r["userId"]: [x["movieId"] for x in r["recommendations"]]
-               for r in m.recommendForAllUsers(5).collect()}
+               for r in m.als.recommendForAllUsers(5).collect()}
     assert set(ours) == set(builtin)
     for u, recs in ours.items():
         assert [i for _, i in sorted(recs)] == builtin[u]

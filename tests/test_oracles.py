@@ -2,12 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tastemap.plans import ORACLES, QUERIES
 from tests.conftest import SF_ORACLE
 from tests.oracle_compare import compare, duck
 
-ORACLES = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -16,7 +14,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, con, name):
-    res = compare(spark, name, queries()[name], ORACLES[name], SF_ORACLE, con)
+    res = compare(spark, name, QUERIES[name], ORACLES[name], SF_ORACLE, con)
     assert res["rows_spark"] == res["rows_duck"], res
     assert res["cols_ok"], res
     assert res["hash_ok"], res
@@ -27,4 +25,4 @@ def test_every_query_has_an_oracle_or_is_a_model_query():
                   "als_similar_items", "biased_mf_rmse", "biased_mf_predictions",
                   "biased_mf_recommend", "serve_requests", "als_tuning_report",
                   "biased_mf_tuning_report"}
-    assert set(queries()) - set(ORACLES) == model_only
+    assert set(QUERIES) - set(ORACLES) == model_only
