@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 import unicodedata
 from collections import deque
 from collections.abc import Iterator
@@ -73,7 +74,7 @@ class WordTokenizer:
             self.ends_sentence[number] = token.endswith("</w>") and bare[-1:] in (".", "!", "?")
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(made.ids, "<u4").tobytes()
+        return [struct.pack(f"<{len(made.ids)}I", *made.ids)
                 for made in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
@@ -97,7 +98,8 @@ class WordTokenizer:
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
         split = [[] if b"<|" in t else t.lower().split() for t in texts]  # A-Z; ASCII white space only
-        self._learn(list(set().union(*split) - self._known.keys()))
+        # Not a set difference: that would walk all known words for each call.
+        self._learn([w for w in set().union(*split) if w not in self._known])
         known = self._known.__getitem__
         return [self._encoded([t.decode()])[0] if b"<|" in t else b"".join(map(known, words))
                 for t, words in zip(texts, split)]
