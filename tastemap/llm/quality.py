@@ -125,23 +125,26 @@ RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "kept", "n_bangs", "n_lines", "n_stop_words", "failed_rules")
 
 
+def _pinned(column: str) -> Column:
+    """The column, not deterministic to the optimizer: a caller's filter on it would else be
+    pushed below the measures, each copied into it as often as it is used."""
+    return F.when(F.monotonically_increasing_id() >= 0, F.col(column)).alias(column)
+
+
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document: the measures, the base verdict, the names of failed rules
     (comma-joined, in table order) and ``kept``."""
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw"))
     out = _verdict(_measures(slim, F.col("_raw")), rules)
-    return out.select(F.col("_id").alias(id_col), *RESULT)
+    return out.select(F.col("_id").alias(id_col), *(_pinned(c) for c in RESULT))
 
 
 def keep_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass every rule, with exactly the columns they came with."""
     slim = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"),
                        docs[text_col].alias("_raw"))
-    # A filter on plain columns would be pushed below the measures, each copied into it as
-    # often as it is used; the row number makes it stay above them.
-    out = _verdict(_measures(slim, F.col("_raw")), rules).select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
-    return out.where("kept and _n >= 0").select("_row.*")
+    return _verdict(_measures(slim, F.col("_raw")), rules).select("_row", _pinned("kept")).where("kept").select("_row.*")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
