@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +57,29 @@ def _urn(page: Column) -> Column:
     return F.concat(F.lit(f"<{_PAGE}"), page.cast("string"), F.lit(">"))
 
 
+def _recoded(df: DataFrame, recode, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("body")
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                yield part.set_column(at, "body", recode(part.column(at)))
+    return df.mapInArrow(run, schema)
+
+
+def _zipped(page: DataFrame) -> DataFrame:
+    pack = lambda c: pa.array([zstandard.compress(b) for b in c.to_pylist()], pa.binary())
+    return _recoded(page.withColumn("body", F.col("body").cast("binary")), pack,
+                    "page_id long, url string, body binary, digest string, size long")
+
+
+def _unzipped(page: DataFrame) -> DataFrame:
+    unpack = lambda c: pa.array([zstandard.decompress(b) for b in c.to_pylist()], pa.binary())
+    out = _recoded(page.select("page_id", "url", "body", "digest", "size", "target"), unpack,
+                   "page_id long, url string, body binary, digest string, size long, target long")
+    return out.withColumn("body", F.col("body").cast("string"))
+
+
 def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
                    min_revisit: int = MIN_REVISIT) -> None:
     """Write ``page_id, url, html`` as WARC files below ``path``."""
@@ -69,7 +93,8 @@ def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00
     chosen = page.where(F.col("size") >= min_revisit).groupBy("digest", "size") \
         .agg(F.max("page_id").alias("target"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1 and target is not null").drop("n")
-    page = page.join(chosen, ["digest", "size"], "left")
+    page = _zipped(page).join(chosen, ["digest", "size"], "left")  # payloads cross this join compressed
+    page = _unzipped(page)
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("target")) & F.col("target").isNotNull(), F.lit(False))
     kind = F.when(revisit, "revisit").otherwise("response")
     block = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
