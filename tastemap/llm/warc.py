@@ -93,7 +93,9 @@ def write_archives(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00
     chosen = page.where(F.col("size") >= min_revisit).groupBy("digest", "size") \
         .agg(F.max("page_id").alias("target"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1 and target is not null").drop("n")
-    page = _zipped(page).join(chosen, ["digest", "size"], "left")  # payloads cross this join compressed
+    # Written first, the chosen records have a known size: Spark broadcasts them under its own
+    # threshold and otherwise shuffles the pages, whose payloads cross the join compressed.
+    page = _zipped(page).join(stage_table(chosen, "warc-chosen"), ["digest", "size"], "left")
     page = _unzipped(page)
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("target")) & F.col("target").isNotNull(), F.lit(False))
     kind = F.when(revisit, "revisit").otherwise("response")
