@@ -55,7 +55,7 @@ class WordHashes(dict):
     """64-bit hash by word, kept while the store is small."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 400_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
