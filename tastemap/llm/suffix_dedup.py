@@ -12,8 +12,9 @@ shard is sorted alone and windows that occur once are never sorted:
    windows; those are told apart further by the 351 bytes common to all windows of a class
    (places of the anchor ``STEP`` bytes apart). Only classes met in several pieces remain.
 3. The remaining class texts, one for each distinct piece, go to shards by anchor and class.
-   A task writes its shard to disk and sorts it; what shares 400 bytes with a neighbour in
-   suffix order is repeated.
+   Equal class texts of several pieces are repeated whole and enter once. A task writes its
+   shard to disk and sorts it; what shares 400 bytes with a neighbour in suffix order is
+   repeated.
 
 All counting is by group-by with partial sums; a passage in very many documents is one
 piece, only the windows over its edges differ. Texts are read three times and shuffled
@@ -150,33 +151,56 @@ def class_texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
 def sorted_repeats(texts: DataFrame, shards: int) -> DataFrame:
     """``anchor, piece, a, b``: repeated windows a <= w < b of each piece, by suffix order."""
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, begins, at = [], [], 0
+        owners: list[list[tuple]] = []  # of each distinct text of a class: anchor, piece, skip, windows
+        begins, written, at = [], [], 0
+        last, seen, waiting = None, {}, None
         with tempfile.TemporaryDirectory() as folder:
             with open(f"{folder}/text", "wb") as out:
+                def write(number: int, body: bytes) -> int:
+                    np.append(np.frombuffer(body, np.uint8).astype(np.int16) + 2, 1).astype(np.int16).tofile(out)
+                    begins.append(at)
+                    written.append(number)
+                    return at + len(body) + 1
+
                 for batch in batches:
-                    for anchor, piece, skip, windows, body in rows(batch, "anchor", "piece", "skip", "windows", "body"):
-                        (np.append(np.frombuffer(body, np.uint8).astype(np.int16) + 2, 1)).astype(np.int16).tofile(out)
-                        names.append((anchor, piece, skip, windows))
-                        begins.append(at)
-                        at += len(body) + 1
+                    for anchor, key, piece, skip, windows, body in rows(
+                            batch, "anchor", "key", "piece", "skip", "windows", "body"):
+                        if (anchor, key) != last:
+                            last, seen, waiting = (anchor, key), {}, None
+                        digest = xxhash.xxh3_128_digest(body)
+                        if digest in seen:
+                            owners[seen[digest]].append((anchor, piece, skip, windows))
+                            continue
+                        number = seen[digest] = len(owners)
+                        owners.append([(anchor, piece, skip, windows)])
+                        if len(seen) == 1:  # a class with one text only has nothing to sort
+                            waiting = number, body
+                            continue
+                        if waiting:
+                            at = write(*waiting)
+                            waiting = None
+                        at = write(number, body)
                 np.zeros(1, np.int16).tofile(out)
-            if not names:
-                return
-            hits = np.sort(repeated(np.memmap(f"{folder}/text", np.int16, "r"), LENGTH, folder))
-        owner = np.searchsorted(begins, hits, "right") - 1
-        place = hits - np.array(begins)[owner]
-        inside = place < np.array([n[3] for n in names])[owner]
-        owner, place = owner[inside], place[inside]
-        new = (np.diff(owner, prepend=-1) != 0) | (np.diff(place, prepend=-2) != 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(owner)) - 1
-        for k in range(0, len(first), 10_000):
-            out = [(*names[owner[a]][:2], names[owner[a]][2] + int(place[a]), names[owner[a]][2] + int(place[b]) + 1)
-                   for a, b in zip(first[k:k + 10_000].tolist(), last[k:k + 10_000].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
+            hits = np.sort(repeated(np.memmap(f"{folder}/text", np.int16, "r"), LENGTH, folder)) if begins \
+                else np.empty(0, np.int64)
+        found = [(n, p, s, s + w) for same in owners if len(same) > 1 for n, p, s, w in same]
+        if len(hits):
+            owner = np.searchsorted(begins, hits, "right") - 1
+            place = hits - np.array(begins)[owner]
+            owner = np.array(written)[owner]
+            inside = place < np.array([same[0][3] for same in owners])[owner]
+            owner, place = owner[inside], place[inside]
+            first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(place, prepend=-2) != 1))
+            last_ = np.append(first[1:], len(owner)) - 1
+            for a, b in zip(first.tolist(), last_.tolist()):
+                if len(owners[owner[a]]) == 1:  # those with several owners are repeated whole
+                    n, p, s, _ = owners[owner[a]][0]
+                    found.append((n, p, s + int(place[a]), s + int(place[b]) + 1))
+        for k in range(0, len(found), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[k:k + 10_000])],
                                              names=["anchor", "piece", "a", "b"])
 
-    return texts.repartition(shards, "anchor", "key").mapInArrow(sort, "anchor long, piece long, a long, b long")
+    return texts.repartition(shards, "anchor", "key").sortWithinPartitions("anchor", "key").mapInArrow(sort, "anchor long, piece long, a long, b long")
 
 
 def removed_mask(size: int, ranges: list) -> np.ndarray:
