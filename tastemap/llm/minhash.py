@@ -3,8 +3,8 @@ r"""Operator 7, near-duplicate groups by b-bit MinHash with exact confirmation.
 A document's set holds the 64-bit hashes of its 5-word shingles. Equal sets form a class,
 and only classes are compared:
 
-1. 256 minima per set. 20 bands of 4 full minima are the bucket keys; of every minimum only
-   the low 4 bits are kept, packed in 4 planes of 256 bits (128 bytes a class).
+1. 256 minima per set. Bands of 4 full minima are the bucket keys, as many as the threshold
+   needs (20 for 85 %, 28 for 80 %); of every minimum only the low 4 bits are kept, packed in 4 planes of 256 bits (128 bytes a class).
 2. In each bucket, pairs are compared by bit counts: with an agreement share p, the
    collision-corrected estimate is (p - 1/16) / (1 - 1/16). Pairs under the threshold less
    five standard errors are dropped; of the others a spanning forest leaves the bucket, so a
@@ -41,7 +41,8 @@ from tastemap.llm.components import components
 SHINGLE = 5
 MINIMA = 256
 BITS = 4
-ROWS, BANDS = 4, 20
+ROWS = 4
+MISS = 4e-7
 PERCENT = 85
 CELL = 1024
 
@@ -92,10 +93,18 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(mins: np.ndarray) -> np.ndarray:
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(mins), BANDS))
+def band_count(percent: int = PERCENT) -> int:
+    """The fewest bands that miss a pair at the threshold with probability MISS or less."""
+    bands = int(np.ceil(np.log(MISS) / np.log1p(-(percent / 100) ** ROWS))) if percent < 100 else 1
+    if bands > MINIMA // ROWS:
+        raise ValueError(f"{MINIMA} minima are too few for a threshold of {percent} %")
+    return bands
+
+
+def band_keys(mins: np.ndarray, bands: int) -> np.ndarray:
+    keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(mins), bands))
     for r in range(ROWS):
-        keys = mix64(keys * _FOLD + mins[:, r:ROWS * BANDS:ROWS])
+        keys = mix64(keys * _FOLD + mins[:, r:ROWS * bands:ROWS])
     return keys.view(np.int64)
 
 
@@ -194,9 +203,12 @@ def _text(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")
 
 
-def document_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def document_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        percent: int = PERCENT) -> DataFrame:
     """``doc_id, text_hash, n_shingles, node, signature, bands``; ``node`` names the class (digest
     of the set, null for an empty one)."""
+    bands = band_count(percent)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -205,7 +217,7 @@ def document_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 sets = [shingle_set(t, hashes) for _, _, t in part]
                 full = [s for s in sets if len(s)]
                 mins = minima(full)
-                keys, bits = iter(band_keys(mins).tolist()), iter(packed(mins))
+                keys, bits = iter(band_keys(mins, bands).tolist()), iter(packed(mins))
                 out = [(i, h, len(s), *((xxhash.xxh3_128_digest(s.tobytes()), next(bits).tobytes(), next(keys))
                                         if len(s) else (None, None, None))) for (i, h, _), s in zip(part, sets)]
                 yield pa.RecordBatch.from_arrays(
@@ -295,7 +307,7 @@ def confirmed_edges(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id",
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, text_hash, n_shingles, component_id, kept``."""
-    signed = stage_table(document_signatures(docs, id_col, text_col), "minhash-documents")
+    signed = stage_table(document_signatures(docs, id_col, text_col, percent), "minhash-documents")
     classes = stage_table(signed.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature"), F.first("bands").alias("bands")), "minhash-classes")

@@ -81,3 +81,34 @@ def test_repeated_rows_leave_one(spark):
     left = minhash.keep_representatives(df.withColumnRenamed("_hash", "extra")).collect()
     assert collections.Counter(r["text"] for r in left) == {"some words here and there now": 1, None: 2,
                                                             "other text under the same id": 1, "no id here at all you see": 1}
+
+
+def near_pairs(spark, n, width, changes):
+    """Pairs of documents (2k, 2k + 1) and the similarity of their 5-word sets by the second's id."""
+    rows, at = [], {}
+    for k in range(n):
+        words, changed = [f"w{k}x{i}" for i in range(width + 4)], changes[k % len(changes)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-changed] + [f"new{k}x{i}" for i in range(changed)]))]
+        at[2 * k + 1] = (width - changed) / (width + changed)
+    return spark.createDataFrame(rows, "doc_id bigint, text string"), at
+
+
+def test_near_copies_at_080(spark):
+    df, at = near_pairs(spark, 120, 100, (8, 9, 10, 11, 12))  # 0.85, 0.83, 0.82, 0.80, 0.79
+    for percent in (80, 85):
+        left = {r["doc_id"] for r in minhash.keep_representatives(df, percent=percent).collect()}
+        assert left == {2 * k for k in range(120)} | {i for i, s in at.items() if 100 * s < percent}
+
+
+def test_lower_thresholds_miss_no_pair(spark):
+    df, at = near_pairs(spark, 3000, 300, (52,))  # 248 / 352; 20 bands miss one in 290
+    assert min(at.values()) > 0.70
+    assert minhash.near_duplicates(df, percent=70).where("kept").count() == 3000
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.band_count() == 20 and minhash.band_count(80) == 28 and minhash.band_count(100) == 1
+    for percent in range(70, 100):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.band_count(percent) <= minhash.MISS
+    with pytest.raises(ValueError):
+        minhash.band_count(60)
