@@ -1,11 +1,14 @@
 r"""Operator 8, secret scans: fixed patterns plus a token-efficiency test.
 
 Beside the three base kinds, every run of 16 or more characters ``[A-Za-z0-9+/_-]`` (with
-up to two ``=`` after it) that holds a digit and a letter is encoded with a public byte-pair
-vocabulary. Words and names take few tokens; a random string takes many, so a run with
-fewer than ``MAX_RATIO`` characters per token is reported as ``random``. Before that, known
-digests (bare hex of a usual length), UUIDs, runs of words joined by ``_ - /`` and runs that
-lie inside a base span are excluded. Base spans always stay.
+up to two ``=`` after it) that holds a letter is encoded with a public byte-pair vocabulary.
+Words and names take few tokens; a random string takes many, so a run with fewer than
+``MAX_RATIO`` characters per token is reported as ``random``, with digits or without. Before
+that, known digests (bare hex of a usual length), UUIDs, names (parts joined by ``_ - /``,
+each a number of up to four digits, one token, or long for its tokens) and runs that lie
+inside a base span are excluded, as are letters with fewer than ``MIN_DISTINCT`` different
+ones (``mmmm...``). Base spans always stay. Digits alone are not reported: the ratio does
+not tell a random number from any other.
 
 Texts are searched as UTF-8 bytes (all patterns are ASCII, so matches are the same) and
 spans are code points, end exclusive. Each row is handled alone: nothing is shuffled.
@@ -39,6 +42,7 @@ KINDS = (*BASE_KINDS, "random")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MAX_RATIO = 2.2
 MIN_RUN = 16
+MIN_DISTINCT = 5
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _RUN = re.compile(rb"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_RUN)
 _UUID = re.compile(rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
@@ -60,13 +64,25 @@ def encoder(vocabulary: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _tokens(run: bytes, vocabulary: str) -> int:
+    return len(encoder(vocabulary).encode_ordinary(run.decode("ascii")))
+
+
+def _is_name(bare: bytes, vocabulary: str) -> bool:
+    bare = bare.strip(b"_/-")
+    if not _NAME.fullmatch(bare):
+        return False
+    words = [p for p in re.split(rb"[_/-]+", bare) if not p.isdigit()]
+    return all((n := _tokens(p, vocabulary)) == 1 or len(p) >= MAX_RATIO * n for p in words)
+
+
 def _is_random(run: bytes, vocabulary: str) -> bool:
     bare = run.rstrip(b"=")
-    if not re.search(rb"[0-9]", bare) or not re.search(rb"[A-Za-z]", bare):
+    if not re.search(rb"[A-Za-z]", bare) or not re.search(rb"[0-9]", bare) and len(set(bare)) < MIN_DISTINCT:
         return False
-    if _UUID.fullmatch(bare) or _NAME.fullmatch(bare) or len(bare) in DIGEST_LENGTHS and _BARE_HEX.fullmatch(bare):
+    if _UUID.fullmatch(bare) or len(bare) in DIGEST_LENGTHS and _BARE_HEX.fullmatch(bare):
         return False
-    return len(run) < MAX_RATIO * len(encoder(vocabulary).encode_ordinary(run.decode("ascii")))
+    return len(run) < MAX_RATIO * _tokens(run, vocabulary) and not _is_name(bare, vocabulary)
 
 
 def _run_windows(text: bytes) -> Iterator[tuple[int, int]]:

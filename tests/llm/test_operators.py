@@ -312,3 +312,20 @@ def test_decontamination(spark, bound):
     assert decontaminate.scan_documents(df, bench.limit(0)).where("contaminated").count() == 0
     text = "É --Two, words"
     assert [text[a:b] for a, b in decontaminate.word_offsets(text.encode())] == ["É", "Two", "words"]
+
+
+def test_secrets_of_letters_only():
+    import random
+    import string
+    own = random.Random(8)
+    told = lambda t: [t[s:e] for s, k, e in secrets.find_spans(t.encode()) if k == 3]
+    for letters in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters):
+        for size in (16, 20, 40):
+            keys = ["".join(own.choice(letters) for _ in range(size)) for _ in range(200)]
+            assert sum(told(f"a {k} b") == [k] for k in keys) >= 190
+    dashed = "qzvx-wkjf-xgqz-vbnk-zqxj"
+    assert told(f"app password {dashed}.") == [dashed]
+    for name in ("getElementsByTagNameNS", "MAX_CONNECTION_POOL_SIZE", "/usr/lib/python/site-packages", "INTERNATIONALIZATION",
+                 "x-y-z-coordinates", "//a/b/c/d/e/f/g/h/i/j", "Geschwindigkeitsbegrenzung", "log_2024_01_02_final_copy",
+                 "m" * 40, "ha" * 12, "2024-01-02/2024-03-04"):
+        assert told(f"a {name} b") == [], name
