@@ -377,21 +377,23 @@ def _q_fallback_titles(spark, d):
 
 @query("als_tuning_report")
 def _q_als_tuning(spark, d):
-    _, train, _ = _train_test(spark, d)
-    points = TUNE.grid(rank=[5, 10], maxIter=[5], regParam=[0.1])
+    _, train, test = _train_test(spark, d)
 
-    def fit_eval(fit_rows, eval_rows, p):
-        m = ALSOPS.fit_als(fit_rows, p["rank"], p["maxIter"], p["regParam"])
-        return ALSOPS.rmse(ALSOPS.predict(m, eval_rows))
-    return TUNE.cross_validate(train, points, fit_eval, n_folds=2)
+    def fit(rows, p):
+        return ALSOPS.fit_als(rows, p["rank"], p["maxIter"], p["regParam"])
+
+    def evaluate(model, rows):
+        return ALSOPS.rmse(ALSOPS.predict(model, rows))
+    return TUNE.tune(train, test, TUNE.als_grid(), fit, evaluate, n_folds=4)
 
 
 @query("biased_mf_tuning_report")
 def _q_bmf_tuning(spark, d):
-    _, train, _ = _train_test(spark, d)
-    points = TUNE.grid(rank=[5, 10], maxIter=[5], regParam=[0.1])
+    _, train, test = _train_test(spark, d)
 
-    def fit_eval(fit_rows, eval_rows, p):
-        m = BMF.fit_biased_mf(fit_rows, p["rank"], p["maxIter"], p["regParam"])
-        return ALSOPS.rmse(BMF.predict_biased(m, eval_rows), prediction="estimate")
-    return TUNE.cross_validate(train, points, fit_eval, n_folds=2)
+    def fit(rows, p):
+        return BMF.fit_biased_mf(rows, p["rank"], p["maxIter"], p["regParam"])
+
+    def evaluate(model, rows):
+        return ALSOPS.rmse(BMF.predict_biased(model, rows), prediction="estimate")
+    return TUNE.tune(train, test, TUNE.svd_grid_as_als(), fit, evaluate, n_folds=5)

@@ -197,3 +197,44 @@ def test_serving_when_every_request_is_unknown(spark, planted, movies):
     empty = A.recommend_for_users(A.fit_als(planted, 2, 2, 0.1),
                                   spark.createDataFrame([(9999,)], "userId bigint"), 3, movies, planted)
     assert sorted(r["rank"] for r in empty.collect()) == [1, 2, 3]
+
+
+def test_registered_reports_run_the_whole_grids(spark, monkeypatch):
+    from tastemap.plans import catalog
+    seen = []
+
+    def folds_only(train, points, fit_eval, n_folds=5, parallelism=2, **_):
+        seen.append((points, n_folds))
+        return T.summarize(spark.createDataFrame(
+            [(g, T.json.dumps(p), f, 1.0 + g) for g, p in enumerate(points[:2]) for f in range(n_folds)],
+            "grid_id int, params string, fold int, rmse double"))
+    monkeypatch.setattr(T, "cross_validate", folds_only)
+    sf = "/root/testdata/sf0.001"
+    rep = catalog.QUERIES["als_tuning_report"](spark, sf).collect()
+    catalog.QUERIES["biased_mf_tuning_report"](spark, sf).collect()
+    assert [(len(p), n) for p, n in seen] == [(27, 4), (27, 5)]
+    assert max(p["rank"] for p in seen[0][0]) == 15 and max(p["rank"] for p in seen[1][0]) == 100
+    _, train, test = catalog._train_test(spark, sf)
+    best = seen[0][0][0]
+    want = A.rmse(A.predict(A.fit_als(train, best["rank"], best["maxIter"], best["regParam"]), test))
+    assert {r["test_rmse"] for r in rep if not r["is_best"]} == {None}
+    assert [r["test_rmse"] for r in rep if r["is_best"]] == [pytest.approx(want, rel=1e-3)] * 4
+
+
+def test_tune_on_train_or_all(spark, planted):
+    train, test = A.split_hash(planted, 5, 0)
+    n_train, n_all, fitted = train.count(), planted.count(), []
+
+    def fit(rows, p):
+        fitted.append(rows.count())
+        return p["shift"] + rows.agg(F.avg("rating")).first()[0]
+
+    def evaluate(model, rows):
+        return A.rmse(rows.withColumn("prediction", F.lit(float(model))))
+    for tune_on, n in (("train", n_train), ("all", n_all)):
+        fitted.clear()
+        rep = T.tune(train, test, T.grid(shift=[0.0, 1.0]), fit, evaluate, n_folds=2, tune_on=tune_on).collect()
+        assert sum(fitted[:4]) == 2 * n and fitted[4] == n_train  # each row is in one of two folds; the refit sees train only
+        assert {r["grid_id"] for r in rep if r["is_best"]} == {0} and len(rep) == 4
+    with pytest.raises(ValueError):
+        T.tune(train, test, [], fit, evaluate, tune_on="test")
