@@ -54,6 +54,13 @@ def sha256_hex(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII string expression (it has no such function)."""
+    return (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), "
+            "lambda c: ascii(c)::BIGINT)), lambda v, b: list_reduce(list_prepend(xor(v, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), "
+            "lambda w, z: CASE WHEN w % 2 = 1 THEN xor(w >> 1, 3988292384::BIGINT) ELSE w >> 1 END)))")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash: every input bit moves about half of the output bits."""
     x = x ^ (x >> np.uint64(32))

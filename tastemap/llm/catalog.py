@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tastemap.llm import chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, span_dedup, suffix_dedup, warc
+from tastemap.llm import (chat, decontaminate, lm_scoring, merkle, minhash, packing, piecewise, quality, repair, secrets,
+                          span_dedup, suffix_dedup, warc)
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_order_preserving_packing": packing.op9_order_preserving_packing,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_piecewise_fingerprint": piecewise.op11_piecewise_fingerprint,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLES = {
@@ -23,4 +27,6 @@ ORACLES = {
     "op3_chat_prefix_targets": chat.ORACLE,
     "op6_warc_round_trip": warc.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
+    "op13_conversation_repair": repair.ORACLE,
 }
