@@ -161,9 +161,8 @@ def proofs(manifest: Manifest, requests: DataFrame) -> DataFrame:
     """``requests`` (``lang, rank`` and other columns) with ``subroot`` and ``path``: the
     segments of unselected children, the leaf's own run first. Requests that name no leaf
     are left out."""
-    spark = requests.sparkSession
-    frontier = spark.range(1).select(F.lit(0).cast("long").alias("rank"), F.lit(manifest.root).alias("digest"),
-                                     F.array().cast(_NO_PATH).alias("path"))
+    top = manifest.top_levels[-1] if manifest.top_levels else manifest.subroots
+    frontier = top.select("rank", "digest", F.array().cast(_NO_PATH).alias("path"))
     for level in reversed(manifest.top_levels):
         frontier = _descend(frontier, level, [])
     tops = stage_table(manifest.subroots.select("lang", "rank", "height").join(frontier, "rank").select(

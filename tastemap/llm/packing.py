@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import functools
 import os
-import struct
 import unicodedata
 from collections import deque
 from collections.abc import Iterator
@@ -38,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm._common import read_table, rows, text_bytes
+from tastemap.llm._common import mix64, read_table, rows, text_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -53,56 +52,207 @@ CACHE_WORDS = 1_500_000
 
 
 _TAIL = ".,!?;:"
+#: A word of one id, put between words that are encoded together.
+_MARK = "~"
+#: Longer words are encoded wherever they occur; texts are taken so many bytes at a time.
+LONGEST = 48
+SLICE = 1 << 20
+
+_SPACE, _TAIL_BYTE, _PLAIN = (np.isin(np.arange(256), list(chars)) for chars in (
+    b" \t\n\x0b\x0c\r", _TAIL.encode(), b"abcdefghijklmnopqrstuvwxyz0123456789"))
+_WEIGHTS = [np.cumprod(np.full(LONGEST, odd, np.uint64)) for odd in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
+
+
+class WordStore:
+    """Ids of known words by a 64-bit hash, checked by a second one: sorted arrays (about 35
+    bytes a word), the newest words in a smaller pair of arrays that is merged now and then."""
+
+    RECENT = 1 << 15
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.empty(0, np.uint64)
+        self._layers = [(none, none, none, none)] * 2  # keys, checks, starts in the pool, lengths
+        self._pool, self._used = np.empty(1 << 16, "<u4"), 0
+
+    def __len__(self) -> int:
+        return sum(len(layer[0]) for layer in self._layers)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the keys are known, and where their ids lie in ``pool``."""
+        known = np.zeros(len(keys), bool)
+        starts, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        for held, held_checks, held_starts, held_lengths in self._layers:
+            if len(held):
+                at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                hit = (held[at] == keys) & (held_checks[at] == checks)
+                known |= hit
+                starts[hit], lengths[hit] = held_starts[at[hit]], held_lengths[at[hit]]
+        return known, starts, lengths
+
+    @property
+    def pool(self) -> np.ndarray:
+        return self._pool
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New words in ascending order of key, with their ids one after the other."""
+        if self._used + len(ids) > len(self._pool):
+            self._pool = np.concatenate([self._pool[:self._used], np.empty(self._used // 2 + len(ids), "<u4")])
+        self._pool[self._used:self._used + len(ids)] = ids
+        new = keys, checks, (self._used + np.cumsum(lengths) - lengths).astype(np.uint32), lengths.astype(np.uint32)
+        self._used += len(ids)
+        self._layers[1] = self._merged(self._layers[1], new)
+        if len(self._layers[1][0]) > self.RECENT:
+            self._layers = [self._merged(*self._layers), tuple(column[:0] for column in new)]
+
+    @staticmethod
+    def _merged(one: tuple, other: tuple) -> tuple:
+        at = np.searchsorted(one[0], other[0])
+        return tuple(np.insert(a, at, b) for a, b in zip(one, other)) if len(one[0]) else other
 
 
 class WordTokenizer:
     """Token ids by word. The tokenizer lower-cases, drops white space, never joins what it
     separates and parts letters and digits from punctuation, so a text's ids are those of
     its words in a row, and a word's those of its stem and its closing punctuation. Ids are
-    kept by word (the store is emptied when it holds CACHE_WORDS). A text with ``<|``, where
-    special tokens may stand, is encoded whole."""
+    kept by word in a ``WordStore`` (emptied when it holds CACHE_WORDS), so each word is encoded
+    about once. A text with ``<|``, where special tokens may stand, is encoded whole."""
 
     def __init__(self, vocabulary: str):
         import public_tokenizers
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         self._tokenizer = Tokenizer.from_file(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
-        self._known: dict[bytes, bytes] = {}
+        mark = self._tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self._mark = mark[0] if len(mark) == 1 else None
+        self._store = WordStore()
         self.ends_sentence = np.zeros(self._tokenizer.get_vocab_size(), bool)
         for token, number in self._tokenizer.get_vocab().items():
             bare = token.removesuffix("</w>").rstrip("\"')]")
             self.ends_sentence[number] = token.endswith("</w>") and bare[-1:] in (".", "!", "?")
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(made.ids)}I", *made.ids)
-                for made in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        stems: dict[bytes, tuple[bytes, ...]] = {}
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(made.ids, "<u4") for made in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word, from one text with a mark between them; one by one if a word
+        holds the mark itself."""
+        if self._mark is not None:
+            ids, = self._whole([f" {_MARK} ".join(words)])
+            cuts = np.flatnonzero(ids == self._mark)
+            if len(cuts) == len(words) - 1:
+                edges = [-1, *cuts.tolist(), len(ids)]
+                return [ids[a + 1:b] for a, b in zip(edges, edges[1:])]
+        return self._whole(words)
+
+    def _learn(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of words that are not in the store."""
+        parts: list[tuple[str, ...]] = []
         for word in words:
             text = word.decode()
             stem = text.rstrip(_TAIL)
-            parts = (word,)
-            if stem and len(stem) < len(text) and unicodedata.category(stem[-1])[0] in "LN":
-                parts = (stem.encode(), text[len(stem):].encode())
-            stems[word] = parts
-        new = list({p for parts in stems.values() for p in parts if p not in self._known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            self._known.update(zip(part, self._encoded([w.decode() for w in part])))
-        for word, parts in stems.items():
-            self._known[word] = b"".join(self._known[p] for p in parts)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+            apart = stem and len(stem) < len(text) and unicodedata.category(stem[-1])[0] in "LN"
+            parts.append((stem, text[len(stem):]) if apart else (text,))
+        new = list({p for found in parts for p in found})
+        known: dict[str, np.ndarray] = {}
+        for at in range(0, len(new), 1000):
+            known.update(zip(new[at:at + 1000], self._encoded(new[at:at + 1000])))
+        return [known[p[0]] if len(p) == 1 else np.concatenate([known[x] for x in p]) for p in parts]
+
+    def _slice(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of a lower-cased text, and for each of its words the end byte and the number
+        of ids up to there."""
+        raw = np.frombuffer(data, np.uint8)
+        inside = ~_SPACE[raw]
+        edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+        starts, ends = edges[::2], edges[1::2]
+        # closing punctuation behind a plain letter or digit is a word of its own
+        place = np.arange(len(raw))
+        stem_end = np.maximum.accumulate(np.where(_TAIL_BYTE[raw], -1, place))[ends - 1] + 1 if len(ends) else ends
+        apart = (stem_end > starts) & (stem_end < ends)
+        apart[apart] = _PLAIN[raw[stem_end[apart] - 1]]
+        cut = stem_end[apart]
+        starts, ends = np.sort(np.r_[starts, cut]), np.sort(np.r_[ends, cut])
+        if not len(starts):
+            return np.empty(0, "<u4"), ends, ends
+        lengths = ends - starts
+        short = np.flatnonzero(lengths <= LONGEST)
+        word = np.repeat(np.arange(len(short)), lengths[short])
+        first = np.cumsum(lengths[short]) - lengths[short]
+        within = np.arange(len(word)) - first[word]
+        value = raw[starts[short][word] + within].astype(np.uint64) + np.uint64(1)
+        keys, checks = (mix64(np.add.reduceat(value * w[within], first)) if len(first) else np.empty(0, np.uint64)
+                        for w in _WEIGHTS)
+        keys, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        different = checks != checks[at][inverse]  # two words of one key in this text
+        checks = checks[at]
+        known, where, size = self._store.find(keys, checks)
+        long = np.r_[np.flatnonzero(lengths > LONGEST), short[different]]
+        new = np.flatnonzero(~known)
+        asked = np.r_[short[at[new]], long]
+        made = self._learn([data[a:b] for a, b in zip(starts[asked].tolist(), ends[asked].tolist())])
+        # the ids of this text's different words, then of its long ones
+        fresh = np.concatenate([np.empty(0, "<u4"), *made])
+        fresh_size = np.array([len(m) for m in made], np.int64)
+        fresh_start = np.cumsum(fresh_size) - fresh_size
+        took = size[known]
+        held = self._store.pool[np.repeat(where[known] - (np.cumsum(took) - took), took) + np.arange(took.sum())]
+        pool = np.concatenate([held, fresh])
+        pool_start, pool_size = np.empty(len(keys), np.int64), size
+        pool_start[known] = np.cumsum(took) - took
+        pool_start[new], pool_size[new] = len(held) + fresh_start[:len(new)], fresh_size[:len(new)]
+        begin, count = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
+        begin[short], count[short] = pool_start[inverse], pool_size[inverse]
+        begin[long], count[long] = len(held) + fresh_start[len(new):], fresh_size[len(new):]
+        upto = np.cumsum(count)
+        ids = pool[np.repeat(begin - (upto - count), count) + np.arange(upto[-1])]
+        if len(new):
+            n = int(fresh_size[:len(new)].sum())
+            self._store.add(keys[new], checks[new], fresh[:n], fresh_size[:len(new)])
+        return ids, ends, upto
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
-        if len(self._known) > CACHE_WORDS:
-            self._known.clear()
-        split = [[] if b"<|" in t else t.lower().split() for t in texts]  # A-Z; ASCII white space only
-        # Not a set difference: that would walk all known words for each call.
-        self._learn([w for w in set().union(*split) if w not in self._known])
-        known = self._known.__getitem__
-        return [self._encoded([t.decode()])[0] if b"<|" in t else b"".join(map(known, words))
-                for t, words in zip(texts, split)]
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        group: list[int] = []
+        size = 0
+
+        def flush() -> None:
+            nonlocal size
+            if len(self._store) > CACHE_WORDS:
+                self._store.clear()
+            ids, ends, upto = self._slice(b" ".join(lowered))
+            edges = np.cumsum([len(t) + 1 for t in lowered])
+            words = np.searchsorted(ends, edges, "left")  # words that end within each text
+            at = np.r_[0, upto][words].tolist()
+            for i, a, b in zip(group, [0, *at], at):
+                out[i].append(ids[a:b])
+            group.clear()
+            lowered.clear()
+            size = 0
+
+        lowered: list[bytes] = []
+        for i, text in enumerate(texts):
+            if b"<|" in text:
+                out[i] += self._whole([text.decode()])
+                continue
+            text = text.lower()  # A-Z
+            start = 0
+            while start < len(text):
+                stop = min(len(text), start + SLICE)
+                while stop < len(text) and not _SPACE[text[stop]]:
+                    stop += 1
+                group.append(i)
+                lowered.append(text[start:stop])
+                size += stop - start
+                start = stop
+                if size >= SLICE:
+                    flush()
+        if group:
+            flush()
+        return [x[0] if len(x) == 1 else np.concatenate([np.empty(0, "<u4"), *x]) for x in out]
 
 
 @functools.cache
@@ -234,7 +384,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         coder = tokenizer(vocabulary)
         stream = Stream(coder.ends_sentence)
         first = TaskContext.get().partitionId() << 33
-        end = np.array([END_ID], "<u4").tobytes()
+        end = np.uint32(END_ID)
 
         def batch_of(pieces: list[tuple]) -> pa.RecordBatch:
             columns = [list(c) for c in zip(*pieces)]
@@ -248,7 +398,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 part = list(rows(batch.slice(at, 64), "id", "text"))
                 pieces = []
                 for (doc_id, _), coded in zip(part, coder.encode([t for _, t in part])):
-                    pieces += merged(stream.add(doc_id, np.frombuffer(coded + end, "<u4")))
+                    pieces += merged(stream.add(doc_id, np.append(coded, end)))
                 if pieces:
                     yield batch_of(pieces)
         if pieces := list(merged(stream.close())):

@@ -329,3 +329,19 @@ def test_secrets_of_letters_only():
                  "x-y-z-coordinates", "//a/b/c/d/e/f/g/h/i/j", "Geschwindigkeitsbegrenzung", "log_2024_01_02_final_copy",
                  "m" * 40, "ha" * 12, "2024-01-02/2024-03-04"):
         assert told(f"a {name} b") == [], name
+
+
+def test_word_ids_match_whole_texts(monkeypatch):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    whole = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    texts = ["", " \n\t ", "a", "~", "a ~ b ~~ c~", "don't, stop!? ... (x).", "Ünïcode… é, ß. 日本語。 x", "y" * 200 + " z", "<|endoftext|> a <|",
+             "word " * 300, prose(400), prose(50) + " ~", "…, ;", "a.b,c; d.e.", "1,000.50! 3rd.", "\x0b\x0c\r end."] * 2
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for size, cache, recent in ((1 << 20, 10**6, 1 << 15), (64, 40, 8)):
+        monkeypatch.setattr(packing, "SLICE", size)
+        monkeypatch.setattr(packing, "CACHE_WORDS", cache)
+        monkeypatch.setattr(packing.WordStore, "RECENT", recent)
+        coder = packing.WordTokenizer(packing.VOCABULARY)
+        for _ in range(2):  # learned, then known
+            assert [x.tolist() for x in coder.encode([t.encode() for t in texts])] == want
