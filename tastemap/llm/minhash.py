@@ -333,10 +333,11 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kept = near_duplicates(docs, id_col, text_col, percent).where("kept and n_shingles > 0") \
         .select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
     wordless = ~F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(f"[^{SPACE}]")
-    worded = docs.where(~wordless).withColumn("_hash", F.xxhash64(_text(text_col))).withColumn(
-        "_id", F.col(id_col).cast("long"))
-    worded = worded.join(kept, worded["_id"].eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")),
-                         "left_semi").dropDuplicates(["_id", "_hash"]).drop("_id", "_hash")
+    # whole rows travel in a struct, so that no column of theirs can clash
+    worded = docs.where(~wordless).select(F.struct("*").alias("row"), F.xxhash64(_text(text_col)).alias("_hash"),
+                                          F.col(id_col).cast("long").alias("_id"))
+    worded = worded.join(kept, worded["_id"].eqNullSafe(F.col("_kept_id")) & (worded["_hash"] == F.col("_kept_hash")),
+                         "left_semi").dropDuplicates(["_id", "_hash"]).select("row.*")
     return worded.unionByName(docs.where(wordless))
 
 

@@ -95,6 +95,18 @@ def _run_windows(text: bytes) -> Iterator[tuple[int, int]]:
     yield from zip(first[long].tolist(), last[long].tolist())
 
 
+def _random_parts(run: bytes, vocabulary: str, cuts: tuple[bytes, ...] = (b"/", b"_-")) -> Iterator[tuple[int, int]]:
+    """Places of random strings in a run: the run itself, else its parts between slashes, else
+    theirs between other joints (a key behind a long path dilutes the ratio of the whole)."""
+    if len(run) < MIN_RUN:
+        return
+    if _is_random(run, vocabulary):
+        yield 0, len(run)
+    elif cuts:
+        for part in re.finditer(rb"[^" + re.escape(cuts[0]) + rb"]+", run):
+            yield from ((part.start() + a, part.start() + b) for a, b in _random_parts(part[0], vocabulary, cuts[1:]))
+
+
 def find_spans(text: bytes, vocabulary: str = VOCABULARY) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` in code points, by start, then kind, then end."""
     found = []
@@ -102,12 +114,16 @@ def find_spans(text: bytes, vocabulary: str = VOCABULARY) -> list[tuple[int, int
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     if b"AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
+    base, reach, b = sorted((s, e) for s, _, e in found), 0, 0
     for lo, hi in _run_windows(text):
-        found += [(m.start(), 2, m.end()) for m in HEX.finditer(text, lo, hi)]
+        digits = [(m.start(), 2, m.end()) for m in HEX.finditer(text, lo, hi)]
+        found += digits
+        while b < len(base) and base[b][0] <= lo:  # runs ascend: the furthest end of the spans before
+            reach, b = max(reach, base[b][1]), b + 1
         # The whole run, not its pieces: a base span may cover only its start.
         whole = _RUN.match(text, lo)
-        if not any(s <= lo and whole.end() <= e for s, _, e in found) and _is_random(whole[0], vocabulary):
-            found.append((lo, 3, whole.end()))
+        if reach < whole.end() and not any(s == lo and e >= whole.end() for s, _, e in digits):
+            found += [(lo + s, 3, lo + e) for s, e in _random_parts(whole[0], vocabulary)]
     if found and not text.isascii():
         at = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
         found = [(int(at[s]) - 1, k, int(at[e - 1])) for s, k, e in found]

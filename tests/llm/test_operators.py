@@ -345,3 +345,21 @@ def test_word_ids_match_whole_texts(monkeypatch):
         coder = packing.WordTokenizer(packing.VOCABULARY)
         for _ in range(2):  # learned, then known
             assert [x.tolist() for x in coder.encode([t.encode() for t in texts])] == want
+
+
+def test_secrets_behind_paths_and_in_linear_time():
+    made = random.Random(3)
+    key = lambda: "".join(made.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789") for _ in range(24))
+    for path in ("usr/local/share/some/long/path/with/words/in/it/and/more/words/", "home/build_cache-of/my_project/", ""):
+        for _ in range(50):
+            text, k = "see " + path + key(), len("see " + path)
+            assert any(s <= k and e == len(text) for s, kind, e in secrets.find_spans(text.encode()) if kind == 3), text
+    assert not secrets.find_spans(b"usr/local/share/some/long/path/with/words/in/it/and/more/words")
+    import time
+    took = []
+    for n in (5_000, 100_000):
+        text = " ".join(key() for _ in range(n)).encode()
+        start = time.process_time()
+        assert len(secrets.find_spans(text)) == n
+        took.append((time.process_time() - start) / n)
+    assert took[1] < 4 * took[0]

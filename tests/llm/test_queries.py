@@ -61,7 +61,7 @@ def test_pipeline_stages_take_effect(spark):
     one = corpus_pipeline.near_dedup(spark, docs, SF)
     assert one.columns == columns
     assert sorted(r[0] for r in one.select("doc_id").collect()) == sorted(
-        r["doc_id"] for r in minhash.near_duplicates(docs).where("kept").collect())
+        r["doc_id"] for r in minhash.near_duplicates(docs, percent=80).where("kept").collect())
     clean = corpus_pipeline.decontamination(spark, docs, SF)
     hit = catalog.decontaminate.scan_documents(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated")
     bad = {r["doc_id"] for r in hit.collect()}
