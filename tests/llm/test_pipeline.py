@@ -97,7 +97,7 @@ def masked(text):
     spans = [m.span() for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", text)
              if len(m[1]) >= 12]
     spans += [m.span() for m in re.finditer("AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}", text)]
-    spans += [m.span() for m in re.finditer(KEY, text) if not any(a <= m.start() and m.end() <= b for a, b in spans)]
+    spans += [m.span() for m in re.finditer("[A-Za-z0-9+/_-]*" + KEY, text) if not any(a <= m.start() and m.end() <= b for a, b in spans)]
     for a, b in sorted(spans, reverse=True):
         text = text[:a] + "[SECRET]" + text[b:]
     return text
