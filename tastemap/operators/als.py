@@ -94,27 +94,37 @@ class FactorModel:
     rank: int
 
 
-def fit_persisted(estimator: ALS, rows: DataFrame) -> FactorModel:
+def id_span(rows: DataFrame) -> tuple:
+    """Row count and the least and greatest ids of users and items."""
+    return tuple(rows.agg(F.count(F.lit(1)), *(f(c) for c in ("userId", "movieId") for f in (F.min, F.max))).first())
+
+
+def fit_persisted(estimator: ALS, rows: DataFrame, span: tuple | None = None) -> FactorModel:
     """Fit with the input kept for the length of the fit: ALS reads its input more
     than once (to size and to block the ratings), and each read would otherwise
     recompute the input's lineage. Ids beyond 32 bits are numbered densely for the fit
-    and come back in the factors."""
+    and come back in the factors. ``span``: the rows' ``id_span``, when the caller has it and
+    keeps the rows."""
     value = estimator.getRatingCol()
     spark = rows.sparkSession
     kept = rows.select(F.col("userId").cast("bigint").alias("userId"), F.col("movieId").cast("bigint").alias("movieId"),
-                       value).persist(StorageLevel.MEMORY_AND_DISK)
+                       value)
+    own_copy = span is None
+    if own_copy:
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        span = kept.agg(F.count(F.lit(1)).alias("n"), *(f(c) for c in ("userId", "movieId") for f in (F.min, F.max))).first()
-        wide = span["n"] and max(abs(x) for x in span[1:]) > MAX_ID
+        span = span or id_span(kept)
+        wide = span[0] and max(abs(x) for x in span[1:]) > MAX_ID
         maps = {c: dense_ids(kept, c) for c in ("userId", "movieId")} if wide else {}
         fit_rows = kept
         for c, m in maps.items():
             fit_rows = fit_rows.join(m, c).drop(c).withColumnRenamed("dense", c)
         fit_rows = fit_rows.select(F.col("userId").cast("int").alias("userId"),
                                    F.col("movieId").cast("int").alias("movieId"), value)
-        model = sized(estimator, spark, span["n"]).fit(fit_rows)
+        model = sized(estimator, spark, span[0]).fit(fit_rows)
     finally:
-        kept.unpersist()
+        if own_copy:
+            kept.unpersist()
 
     def own(factors: DataFrame, column: str) -> DataFrame:
         if column not in maps:

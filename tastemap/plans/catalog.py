@@ -396,4 +396,11 @@ def _q_bmf_tuning(spark, d):
 
     def evaluate(model, rows):
         return ALSOPS.rmse(BMF.predict_biased(model, rows), prediction="estimate")
-    return TUNE.tune(train, test, TUNE.svd_grid_as_als(), fit, evaluate, n_folds=5)
+
+    def fold_eval(shared, p):
+        return BMF.fold_rmse(shared, p["rank"], p["maxIter"], p["regParam"], blocks=blocks)
+    at_once = 4
+    slots = spark.sparkContext.defaultParallelism
+    blocks = max(-(-slots // at_once), -(-train.count() // ALSOPS.RATINGS_PER_BLOCK))
+    return TUNE.tune(train, test, TUNE.svd_grid_as_als(), fit, evaluate, n_folds=5, parallelism=at_once,
+                     prepare=BMF.bias_fold, fold_eval=fold_eval)

@@ -79,6 +79,12 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder that was written by Spark is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 
