@@ -19,6 +19,7 @@ from ..operators import genres as G
 from ..operators import popularity as P
 from ..operators import quality as QC
 from ..operators import serving as SRV
+from ..operators import sgd as SGD
 from ..operators import similarity as SIM
 from ..operators import tuning as TUNE
 from ..session import materialize
@@ -404,3 +405,20 @@ def _q_bmf_tuning(spark, d):
     blocks = max(-(-slots // at_once), -(-train.count() // ALSOPS.RATINGS_PER_BLOCK))
     return TUNE.tune(train, test, TUNE.svd_grid_as_als(), fit, evaluate, n_folds=5, parallelism=at_once,
                      prepare=BMF.bias_fold, fold_eval=fold_eval)
+
+
+@query("sgd_mf_rmse")
+def _q_sgd_rmse(spark, d):
+    _, train, test = _train_test(spark, d)
+    return ALSOPS.rmse_frame(BMF.predict_biased(SGD.fit_sgd(train), test), prediction="estimate")
+
+
+@query("sgd_tuning_report")
+def _q_sgd_tuning(spark, d):
+    """The original grid: 81 points, 5 folds; the best point again on all training rows."""
+    _, train, test = _train_test(spark, d)
+    report = materialize(SGD.tune_sgd(train, TUNE.svd_grid(), 5), "sgd-report")
+    best = TUNE.best_params(report)
+    model = SGD.fit_sgd(train, best["n_factors"], best["n_epochs"], best["lr_all"], best["reg_all"])
+    held_out = ALSOPS.rmse(BMF.predict_biased(model, test), prediction="estimate")
+    return report.withColumn("test_rmse", F.when(F.col("is_best"), F.lit(held_out)))
