@@ -77,7 +77,7 @@ def test_span_dedup(spark):
     rows = [(1, " ".join(s[:10])), (2, "Start here now. " + " ".join(s[3:8]) + " The end is other."), (3, " ".join(s[20:])),
             (4, " ".join(s[20:])), (5, None), (6, ""), (7, "A. B. C. A. B. C."), (8, "\n".join(s[11:14]) + "\n" + "\n".join(s[11:14]))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("first", F.lit(0)).withColumn("at", F.lit(1))
-    got = {r["doc_id"]: r for r in span_dedup.remove_repeated_spans(df).collect()}
+    got = {r["doc_id"]: r for r in span_dedup.remove_repeated_spans(df, min_words=12).collect()}
     assert {i: r["n_removed"] for i, r in got.items()} == {1: 0, 2: 5, 3: 0, 4: 10, 5: 0, 6: 0, 7: 0, 8: 3}
     assert got[2]["n_spans"] == 1 and got[2]["kept_text"].split() == "Start here now. The end is other.".split()
     assert got[1]["kept_text"] == rows[0][1] and got[4]["kept_text"].strip() == ""
@@ -363,3 +363,57 @@ def test_secrets_behind_paths_and_in_linear_time():
         assert len(secrets.find_spans(text)) == n
         took.append((time.process_time() - start) / n)
     assert took[1] < 4 * took[0]
+
+
+def plain_spans(rows, min_words):
+    """Kept texts by doc key, by plain Python over all documents."""
+    docs = sorted({(i is not None, i or 0, t or "") for i, t in rows})
+    docs.sort(key=lambda d: d[:2])
+    seen, out = set(), {}
+    parts = {}
+    for d in docs:
+        toks = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", d[2])
+        w = [WORD.match(t)[0].encode().lower() for t in toks]
+        ends = [bool(re.search(rb"[.!?][\"')\]}]{0,4}$", x)) or "\n" in t for x, t in zip(w, toks)]
+        sizes = collections.Counter()
+        number = [sum(ends[:k]) for k in range(len(w))]
+        sizes.update(number)
+        cut = [e or sizes[n] > 16 and (len(x) % 5 == 0 or x in w[max(0, k - 8):k]) for k, (e, n, x) in enumerate(zip(ends, number, w))]
+        units, at = [], 0
+        for k, c in enumerate(cut):
+            if c or k == len(cut) - 1:
+                units.append((w[at:k + 1], "".join(toks[at:k + 1])))
+                at = k + 1
+        parts[d] = units
+    for d in docs:
+        units, gone = parts[d], set()
+        for a in range(len(units)):
+            for b in range(a + 1, len(units) + 1):
+                words_ = tuple(x for u in units[a:b] for x in u[0])
+                if len(words_) >= min_words:
+                    if words_ in seen:
+                        gone.update(range(a, b))
+                    seen.add(words_)
+                    break
+        lead = re.match(r"[\x20\x09-\x0D]*", d[2])[0]
+        out[d] = (len(units), len(gone), sum(k - 1 not in gone for k in gone), lead + "".join(u[1] for k, u in enumerate(units) if k not in gone))
+    return collections.Counter((i, *out[(i is not None, i or 0, t or "")]) for i, t in rows)
+
+
+def test_span_dedup_by_words(spark, texts, monkeypatch):
+    made = random.Random(9)
+    phrase = lambda n: " ".join("".join(made.choice("abcdefghij") for _ in range(made.randint(2, 9))) for _ in range(n))
+    long_sentence, two = phrase(80), phrase(42) + ". " + phrase(36)
+    short = " ".join(phrase(2) + "." for _ in range(38))  # many short sentences
+    rows = [(100 + k, f"{phrase(13)} {p} {phrase(11)}. {phrase(30)}") for k, p in enumerate([long_sentence, two, short] * 2)]
+    rows += [(200, long_sentence), (201, long_sentence), (300, phrase(39)), (301, "As " * 200), (302, "x As " + "As " * 150)]
+    rows += [(i, t) for i, t in texts if i is not None] + [(0, texts[0][1])] + [(400, "é\n " + prose(5000)), (401, " \x0b\n" + two + "\r\n\r\n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).withColumns({"at": F.lit(1), "marks": F.lit("x"), "h1": F.lit(2)})
+    for size, cycle in ((1 << 22, 4096), (64, 4096)):
+        monkeypatch.setattr(span_dedup, "SLICE", size)
+        got = collections.Counter(map(tuple, span_dedup.remove_repeated_spans(df).collect()))
+        assert got == plain_spans(rows, span_dedup.MIN_WORDS)
+    left = {r["doc_id"]: r for r in span_dedup.remove_repeated_spans(df).collect()}
+    for i in (103, 104, 105):  # planted passages in one, in two long and in many short sentences
+        assert left[i]["n_removed"] > 0 and len(left[i]["kept_text"].split()) < len(dict(rows)[i].split()) - 25
+    assert left[201]["kept_text"].strip() == "" and left[200]["n_removed"] > 0 and left[300]["n_removed"] == 0
