@@ -6,7 +6,8 @@ line break. A sentence of more than ``LONGEST`` words is cut further where its o
 so: after a word of a multiple of ``CUT_LENGTH`` bytes, and after one of the ``NEAR`` words
 before it again; so a passage set inside a long sentence has whole parts of its own. From
 every sentence (or part) on, the shortest run of consecutive ones with ``MIN_WORDS`` words or
-more is a span; it is hashed to 128 bits by its words.
+more is a span, and the last of these again up to the text's end; a span is hashed to 128 bits
+by its words.
 
 Hashes are counted over all documents with partial sums, and the repeated ones are joined
 back to their spans: all occurrences but the first (smallest doc_id, then text hash, then
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 
 from tastemap.llm._common import SPACE, mix64, read_table, rows, stage_table
 
-MIN_WORDS = 40
-LONGEST = 16
-CUT_LENGTH = 5
-NEAR = 8
+MIN_WORDS = 38
+LONGEST = 24
+CUT_LENGTH = 8
+NEAR = 1
 SLICE = 1 << 22
 
 _SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -95,7 +96,10 @@ def text_spans(text: bytes, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.
     upto = np.r_[0, np.cumsum(size)]
     until = np.searchsorted(upto, upto[:-1] + min_words)
     at = np.flatnonzero(until < len(upto))
-    words = upto[until[at]] - upto[at]
+    until = until[at]
+    if len(at) and until[-1] < len(size):
+        at, until = np.r_[at, at[-1]], np.r_[until, len(size)]
+    words = upto[until] - upto[at]
     told: list[list[np.ndarray]] = [[], []]
     for a in range(0, len(at), 1 << 16):
         part = slice(a, a + (1 << 16))
@@ -103,7 +107,7 @@ def text_spans(text: bytes, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.
         for out, h, weight in zip(told, hashes, _WEIGHTS):
             out.append(mix64(np.add.reduceat(h[place] * weight[within % _CYCLE], first) + words[part].astype(np.uint64)))
     h1, h2 = (np.concatenate([np.empty(0, np.uint64), *x]) for x in told)
-    return at, until[at] - at, h1, h2
+    return at, until - at, h1, h2
 
 
 _SPANS = "doc_id long, text_hash long, at int, n int, h1 long, h2 long"
@@ -185,9 +189,11 @@ def marked(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     slim = _slim(docs)
     found = stage_table(slim.mapInArrow(_find(min_words), _SPANS), "spans")
     place = F.struct("doc_id", "text_hash", "at")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
-        .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
-    later = found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    # counts alone cross the first shuffle; the repeated spans, few, then find their first place
+    often = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    repeated = stage_table(found.join(often, ["h1", "h2"], "left_semi"), "spans-repeated")
+    first = repeated.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    later = repeated.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     marks = later.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")) \
         .agg(F.collect_set(F.struct("at", "n")).alias("marks"))
     texts = slim.mapInArrow(_pack, _TEXT)
@@ -222,7 +228,9 @@ g AS (SELECT k, u, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS words, string
 h AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY u) AS upto FROM g),
 p AS (SELECT f.k, f.u, min(e.u) AS last FROM h f JOIN h e ON e.k = f.k AND e.u BETWEEN f.u AND f.u + {MIN_WORDS - 1}
       AND e.upto - f.upto + f.n >= {MIN_WORDS} GROUP BY f.k, f.u),
-r AS (SELECT p.k, p.u, p.last, string_agg(h.words, ' ' ORDER BY h.u) AS span FROM p JOIN h ON h.k = p.k AND h.u BETWEEN p.u AND p.last
+b AS (SELECT * FROM p UNION SELECT p.k, p.u, z.n FROM p JOIN (SELECT k, max(u) AS n FROM h GROUP BY k) z ON z.k = p.k
+      WHERE p.u = (SELECT max(y.u) FROM p y WHERE y.k = p.k)),
+r AS (SELECT p.k, p.u, p.last, string_agg(h.words, ' ' ORDER BY h.u) AS span FROM b p JOIN h ON h.k = p.k AND h.u BETWEEN p.u AND p.last
       GROUP BY p.k, p.u, p.last),
 q AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY k, u) AS nth FROM r),
 gone AS (SELECT DISTINCT k, unnest(range(u::BIGINT, last::BIGINT + 1)) AS u FROM q WHERE nth > 1),

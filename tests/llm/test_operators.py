@@ -378,7 +378,7 @@ def plain_spans(rows, min_words):
         sizes = collections.Counter()
         number = [sum(ends[:k]) for k in range(len(w))]
         sizes.update(number)
-        cut = [e or sizes[n] > 16 and (len(x) % 5 == 0 or x in w[max(0, k - 8):k]) for k, (e, n, x) in enumerate(zip(ends, number, w))]
+        cut = [e or sizes[n] > 24 and (len(x) % 8 == 0 or x in w[max(0, k - 1):k]) for k, (e, n, x) in enumerate(zip(ends, number, w))]
         units, at = [], 0
         for k, c in enumerate(cut):
             if c or k == len(cut) - 1:
@@ -386,15 +386,17 @@ def plain_spans(rows, min_words):
                 at = k + 1
         parts[d] = units
     for d in docs:
-        units, gone = parts[d], set()
+        units, gone, spans = parts[d], set(), []
         for a in range(len(units)):
-            for b in range(a + 1, len(units) + 1):
-                words_ = tuple(x for u in units[a:b] for x in u[0])
-                if len(words_) >= min_words:
-                    if words_ in seen:
-                        gone.update(range(a, b))
-                    seen.add(words_)
-                    break
+            b = next((b for b in range(a + 1, len(units) + 1) if sum(len(u[0]) for u in units[a:b]) >= min_words), None)
+            spans += [(a, b)] if b else []
+        if spans and spans[-1][1] < len(units):
+            spans.append((spans[-1][0], len(units)))
+        for a, b in spans:
+            words_ = tuple(x for u in units[a:b] for x in u[0])
+            if words_ in seen:
+                gone.update(range(a, b))
+            seen.add(words_)
         lead = re.match(r"[\x20\x09-\x0D]*", d[2])[0]
         out[d] = (len(units), len(gone), sum(k - 1 not in gone for k in gone), lead + "".join(u[1] for k, u in enumerate(units) if k not in gone))
     return collections.Counter((i, *out[(i is not None, i or 0, t or "")]) for i, t in rows)
