@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.session import scratch_path
+from tastemap.session import record_scratch, scratch_path
 
 #: ASCII white space that separates words (regular-expression class body, Java/RE2/Python).
 SPACE = r"\x20\x09-\x0D"
@@ -22,6 +22,7 @@ def stage_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> D
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    record_scratch(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

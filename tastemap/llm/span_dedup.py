@@ -190,9 +190,10 @@ def marked(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = stage_table(slim.mapInArrow(_find(min_words), _SPANS), "spans")
     place = F.struct("doc_id", "text_hash", "at")
     # counts alone cross the first shuffle; the repeated spans, few, then find their first place
-    often = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    # (tables of their own, so that a frequent span is a skewed join key that Spark can split)
+    often = stage_table(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "spans-often")
     repeated = stage_table(found.join(often, ["h1", "h2"], "left_semi"), "spans-repeated")
-    first = repeated.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    first = stage_table(repeated.groupBy("h1", "h2").agg(F.min(place).alias("first")), "spans-first")
     later = repeated.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     marks = later.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")) \
         .agg(F.collect_set(F.struct("at", "n")).alias("marks"))
