@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dot, one_key
 from ..session import materialize
+from .numbering import number_rows
 from .popularity import most_rated_left
 from .scoring import topk_scores
 
@@ -74,10 +75,9 @@ MAX_ID = (1 << 31) - 1
 
 
 def dense_ids(ids: DataFrame, column: str) -> DataFrame:
-    """``column, dense int``: distinct ids numbered from 0, without a global sort or window."""
-    spark = ids.sparkSession
-    numbered = ids.select(F.col(column).cast("bigint").alias(column)).distinct().rdd.map(lambda r: r[0]).zipWithIndex()
-    out = materialize(spark.createDataFrame(numbered, f"{column} bigint, dense bigint"), f"dense-{column}")
+    """``column, dense int``: distinct ids numbered from 0 in ascending order."""
+    distinct = ids.select(F.col(column).cast("bigint").alias(column)).distinct()
+    out = materialize(number_rows(distinct, column, name="dense"), f"dense-{column}")
     if out.count() > MAX_ID + 1:
         raise ValueError(f"more than {MAX_ID + 1} distinct values of {column}")
     return out.withColumn("dense", F.col("dense").cast("int"))

@@ -21,8 +21,9 @@ from ..operators import quality as QC
 from ..operators import serving as SRV
 from ..operators import sgd as SGD
 from ..operators import similarity as SIM
+from ..operators import store as STORE
 from ..operators import tuning as TUNE
-from ..session import materialize
+from ..session import materialize, record_scratch, scratch_path
 from ..sources.views import load_item_factors, load_tables, register_views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -155,8 +156,12 @@ def _q_distinct_genres(spark, d):
 
 @query("genre_flags")
 def _q_flags(spark, d):
-    movies = load_tables(spark, d).movies
-    return G.genre_flags(movies, G.collect_vocabulary(movies))
+    return G.genre_flags(load_tables(spark, d).movies)
+
+
+@query("genre_indices")
+def _q_indices(spark, d):
+    return G.genre_indices(load_tables(spark, d).movies)
 
 
 # Popularity ----------------------------------------------------------------------
@@ -298,12 +303,22 @@ def _q_bmf_rec(spark, d):
     return BMF.recommend_biased(model, _requests(t), t.movies, TOP_N)
 
 
+def _served_model(spark, train):
+    """The newest stored model of these training rows; the first run fits and stores it."""
+    root, told = scratch_path(spark, "served-models"), STORE.rows_fingerprint(train)
+    model = STORE.load_newest(spark, root, told)
+    if model is None:
+        record_scratch(spark, root)
+        STORE.save_version(BMF.fit_biased_mf(train, **BMF_PARAMS), root, told)
+        model = STORE.load_newest(spark, root, told)
+    return model
+
+
 @query("serve_requests")
 def _q_serve(spark, d):
     t, train, _ = _train_test(spark, d)
-    model = BMF.fit_biased_mf(train, **BMF_PARAMS)
     req = _requests(t).withColumn("n", F.lit(TOP_N))
-    return SRV.serve(req, model, t.movies, t.ratings)
+    return SRV.serve(req, _served_model(spark, train), t.movies, t.ratings)
 
 
 # Bias-only forms (rank 0), which SQL can state, over requests from given tables.

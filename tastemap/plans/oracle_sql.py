@@ -175,6 +175,13 @@ SELECT movieId,
 FROM movies, vocab
 """)
 
+ORACLES["genre_indices"] = _q(f"""
+, vocab AS (SELECT list(genre ORDER BY genre) AS v
+            FROM (SELECT DISTINCT unnest({_GENRE_SET}) AS genre FROM movies))
+SELECT movieId, list_filter(range(len(vocab.v)), lambda j: list_contains({_GENRE_SET}, vocab.v[j + 1])) AS indices
+FROM movies, vocab
+""")
+
 ORACLES["most_rated_left"] = _q("""
 SELECT * FROM (
   SELECT movieId, title, genres, n_ratings,

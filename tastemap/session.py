@@ -75,10 +75,15 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     read it back: computed a single time, lineage cut, columnar to re-read."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.partitionBy(*partition_by).parquet(path)
-    _written.append((df.sparkSession, path))
+    record_scratch(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def record_scratch(spark: SparkSession, path: str) -> None:
+    """Remember a scratch table for ``clean_up``."""
+    _written.append((spark, path))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder that was written by Spark is there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

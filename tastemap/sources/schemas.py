@@ -3,27 +3,27 @@
 from pyspark.sql import types as T
 
 RATINGS = T.StructType([
-    T.StructField("userId", T.IntegerType(), False),
-    T.StructField("movieId", T.IntegerType(), False),
+    T.StructField("userId", T.LongType(), False),
+    T.StructField("movieId", T.LongType(), False),
     T.StructField("rating", T.FloatType(), False),
     T.StructField("timestamp", T.LongType(), False),
 ])
 
 MOVIES = T.StructType([
-    T.StructField("movieId", T.IntegerType(), False),
+    T.StructField("movieId", T.LongType(), False),
     T.StructField("title", T.StringType(), False),
     T.StructField("genres", T.StringType(), False),
 ])
 
 LINKS = T.StructType([
-    T.StructField("movieId", T.IntegerType(), False),
+    T.StructField("movieId", T.LongType(), False),
     T.StructField("imdbId", T.StringType(), False),
     T.StructField("tmdbId", T.StringType(), True),
 ])
 
 TAGS = T.StructType([
-    T.StructField("userId", T.IntegerType(), False),
-    T.StructField("movieId", T.IntegerType(), False),
+    T.StructField("userId", T.LongType(), False),
+    T.StructField("movieId", T.LongType(), False),
     T.StructField("tag", T.StringType(), False),
     T.StructField("timestamp", T.LongType(), False),
 ])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tastemap.operators import explore as X
 from tastemap.operators import quality as QC
 from tastemap.sources import read_tables_csv
+from tastemap.sources.csv import read_csv_typed
 from tastemap.sources.schemas import SCHEMAS
 from tastemap.sources.views import load_tables
 from tests.conftest import SF_SMALL
@@ -47,3 +48,13 @@ def test_csv_round_trip_and_queries(spark):
         [(frames["movies"].count(),)]
     unrated = {r["movieId"] for r in X.unrated_items(typed["movies"], typed["ratings"]).collect()}
     assert 999999 in unrated
+
+
+def test_wide_ids_are_kept(spark):
+    folder = tempfile.mkdtemp(prefix="tastemap-csv-")
+    path = os.path.join(folder, "ratings.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("userId,movieId,rating,timestamp\n9007199254740993,4294967296,4.5,0\n99999999999999999999,1,2.0,0\n")
+    typed = read_csv_typed(spark, path, "ratings")
+    assert sorted((r["userId"] or 0, r["movieId"]) for r in typed.collect()) == [(0, 1), (9007199254740993, 4294967296)]
+    assert QC.clean_ratings(typed).count() == 1

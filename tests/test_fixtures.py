@@ -61,7 +61,7 @@ def test_quoted_title_is_one_field(spark):
     assert rows[0]["title"] == 'A "q", The'
     assert rows[0]["genres"] == "Drama|War"
     typed = read_csv_typed(spark, path, "movies")
-    assert dict(typed.dtypes)["movieId"] == "int"
+    assert dict(typed.dtypes)["movieId"] == "bigint"
 
 
 def test_genre_sets(spark, movies):
