@@ -24,5 +24,5 @@ def test_every_query_has_an_oracle_or_is_a_model_query():
     model_only = {"als_rmse", "als_predictions", "als_recommend_all", "als_recommend_users",
                   "als_similar_items", "biased_mf_rmse", "biased_mf_predictions",
                   "biased_mf_recommend", "serve_requests", "als_tuning_report",
-                  "biased_mf_tuning_report"}
+                  "biased_mf_tuning_report", "sgd_mf_rmse", "sgd_tuning_report"}
     assert set(QUERIES) - set(ORACLES) == model_only

@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 MODEL_QUERIES = {"als_rmse", "als_predictions", "als_recommend_all", "als_recommend_users",
                  "als_similar_items", "biased_mf_rmse", "biased_mf_predictions",
                  "biased_mf_recommend", "serve_requests", "als_tuning_report",
-                 "biased_mf_tuning_report"}
+                 "biased_mf_tuning_report", "sgd_mf_rmse", "sgd_tuning_report"}
 
 
 def plan(df) -> str:
