@@ -12,13 +12,16 @@ shard is sorted alone and windows that occur once are never sorted:
    windows; those are told apart further by the 351 bytes common to all windows of a class
    (places of the anchor ``STEP`` bytes apart). Only classes met in several pieces remain.
 3. The remaining class texts, one for each distinct piece, go to shards by anchor and class.
-   Equal class texts of several pieces are repeated whole and enter once. A task writes its
-   shard to disk and sorts it; what shares 400 bytes with a neighbour in suffix order is
-   repeated.
+   Equal class texts of several pieces are repeated whole and enter once. The 351 bytes that
+   all windows of a text share are written as one code of ``DIGITS`` symbols for each distinct
+   string of them (told by a 128-bit hash), so a text is at most 98 bytes and a code, and a
+   window 49 bytes and a code. A task writes its shard to disk and sorts it; what shares
+   such a window with a neighbour in suffix order is repeated.
 
 All counting is by group-by with partial sums; a passage in very many documents is one
-piece, only the windows over its edges differ. Texts are read three times and shuffled
-twice, for the class texts and for the result.
+piece, only the windows over its edges differ. Keys that hold over a ``SALTS``-th of all rows
+(there are fewer than ``SALTS``) are salted in the joins. Texts are read three times and
+shuffled twice, for the class texts and for the result.
 
 Edge cases: null and empty texts have no bytes and lose none; repeated rows repeat each
 other's strings, so rows of LENGTH bytes or more go whole; texts under LENGTH bytes are kept;
@@ -28,9 +31,10 @@ are not read.
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,11 @@ from tastemap.llm.suffix_sort import repeated
 LENGTH = 400
 GRAM = 16
 STEP = 50
-SHARD_BYTES = 1 << 20
+COMMON = LENGTH - STEP + 1  # bytes that all windows of a class hold
+DIGITS, BASE = 3, 1024  # of the code that stands for them: symbols above those of bytes
+CODED = LENGTH - COMMON + DIGITS
+SHARD_SYMBOLS = 1 << 22
+SALTS = 64
 SLICE = 1 << 22  # window starts handled at once; places fit the low 24 bits
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,22 +138,37 @@ def _batched(cut):
 
 def class_texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """Texts of the classes in ``shared`` (``doc_id, text_hash, anchor, piece, key, begin, skip,
-    windows``): ``windows + LENGTH - 1`` bytes from ``begin``."""
+    windows, left``): the ``windows + LENGTH - 1`` bytes from ``begin`` without the COMMON ones from
+    their ``left``-th on, and the hash of those."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, parts in rows(batch, "text", "parts"):
+                middle = [p["begin"] + p["left"] for p in parts]
+                body = [text[p["begin"]:m] + text[m + COMMON:p["begin"] + p["windows"] + LENGTH - 1]
+                        for p, m in zip(parts, middle)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[n] for p in parts], t) for n, t in (
                         ("anchor", pa.int64()), ("key", pa.int32()), ("piece", pa.int64()), ("skip", pa.int64()),
-                        ("windows", pa.int64()))]
-                    + [pa.array([text[p["begin"]:p["begin"] + p["windows"] + LENGTH - 1] for p in parts], pa.binary())],
-                    names=["anchor", "key", "piece", "skip", "windows", "body"])
+                        ("windows", pa.int64()), ("left", pa.int64()))]
+                    + [pa.array([xxhash.xxh3_128_digest(text[m:m + COMMON]) for m in middle], pa.binary()),
+                       pa.array(body, pa.binary())],
+                    names=["anchor", "key", "piece", "skip", "windows", "left", "common", "body"])
 
     parts = shared.groupBy("doc_id", "text_hash").agg(F.collect_list(
-        F.struct("anchor", "key", "piece", "begin", "skip", "windows")).alias("parts"))
+        F.struct("anchor", "key", "piece", "begin", "skip", "windows", "left")).alias("parts"))
     joined = docs.join(parts, docs["id"].eqNullSafe(parts["doc_id"]) & (docs["text_hash"] == parts["text_hash"]))
     return joined.select("text", "parts").mapInArrow(
-        cut, "anchor long, key int, piece long, skip long, windows long, body binary")
+        _batched(cut), "anchor long, key int, piece long, skip long, windows long, left long, common binary, body binary")
+
+
+def coded(left: int, code: int, body: bytes) -> np.ndarray:
+    """Symbols of a class text: bytes from 2, the code of its common part, a separator."""
+    out = np.empty(len(body) + DIGITS + 1, np.int16)
+    data = np.frombuffer(body, np.uint8).astype(np.int16) + 2
+    out[:left], out[left + DIGITS:-1] = data[:left], data[left:]
+    out[left:left + DIGITS] = [258 + code // BASE ** k % BASE for k in range(DIGITS)]
+    out[-1] = 1
+    return out
 
 
 def sorted_repeats(texts: DataFrame, shards: int) -> DataFrame:
@@ -153,35 +176,39 @@ def sorted_repeats(texts: DataFrame, shards: int) -> DataFrame:
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners: list[list[tuple]] = []  # of each distinct text of a class: anchor, piece, skip, windows
         begins, written, at = [], [], 0
-        last, seen, waiting = None, {}, None
+        last, seen, codes, n_codes, waiting = None, {}, {}, 0, None
         with tempfile.TemporaryDirectory() as folder:
             with open(f"{folder}/text", "wb") as out:
-                def write(number: int, body: bytes) -> int:
-                    np.append(np.frombuffer(body, np.uint8).astype(np.int16) + 2, 1).astype(np.int16).tofile(out)
+                def write(number: int, symbols: np.ndarray) -> int:
+                    symbols.tofile(out)
                     begins.append(at)
                     written.append(number)
-                    return at + len(body) + 1
+                    return at + len(symbols)
 
                 for batch in batches:
-                    for anchor, key, piece, skip, windows, body in rows(
-                            batch, "anchor", "key", "piece", "skip", "windows", "body"):
+                    for anchor, key, piece, skip, windows, left, common, body in rows(
+                            batch, "anchor", "key", "piece", "skip", "windows", "left", "common", "body"):
                         if (anchor, key) != last:
-                            last, seen, waiting = (anchor, key), {}, None
-                        digest = xxhash.xxh3_128_digest(body)
-                        if digest in seen:
-                            owners[seen[digest]].append((anchor, piece, skip, windows))
+                            last, seen, codes, waiting = (anchor, key), {}, {}, None
+                        told = left, common, body
+                        if told in seen:
+                            owners[seen[told]].append((anchor, piece, skip, windows))
                             continue
-                        number = seen[digest] = len(owners)
+                        number = seen[told] = len(owners)
                         owners.append([(anchor, piece, skip, windows)])
+                        if common not in codes:
+                            codes[common] = n_codes
+                            n_codes += 1
+                        symbols = coded(left, codes[common], body)
                         if len(seen) == 1:  # a class with one text only has nothing to sort
-                            waiting = number, body
+                            waiting = number, symbols
                             continue
                         if waiting:
                             at = write(*waiting)
                             waiting = None
-                        at = write(number, body)
+                        at = write(number, symbols)
                 np.zeros(1, np.int16).tofile(out)
-            hits = np.sort(repeated(np.memmap(f"{folder}/text", np.int16, "r"), LENGTH, folder)) if begins \
+            hits = np.sort(repeated(np.memmap(f"{folder}/text", np.int16, "r"), CODED, folder)) if begins \
                 else np.empty(0, np.int64)
         found = [(n, p, s, s + w) for same in owners if len(same) > 1 for n, p, s, w in same]
         if len(hits):
@@ -211,29 +238,48 @@ def removed_mask(size: int, ranges: list) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
+def salted(left: DataFrame, right: DataFrame, counted: DataFrame, on: list[str], spread: list[str],
+           how: str = "inner") -> DataFrame:
+    """Join where no key of ``left`` is one task: keys with over a SALTS-th of the rows by
+    ``counted`` (``on``, ``n``; fewer than SALTS such) are spread by a hash of ``spread``, and
+    their rows of ``right``, at most one a kind of piece, are repeated for each salt."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = F.lit(False)
+    for key in counted.where(F.col("n") * SALTS > total).select(*on).collect():
+        hot = hot | reduce(and_, (F.col(c) == F.lit(key[c]) for c in on))
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("salt", F.when(hot, salt).otherwise(F.lit(0))).join(
+        right.withColumn("salt", F.explode(every)), [*on, "salt"], how).drop("salt")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the bytes left)."""
     slim = text_bytes(docs).withColumn("text_hash", F.xxhash64("text"))
     cut = stage_table(cut_pieces(slim), "suffix-pieces")
-    often = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    pieces = stage_table(cut.join(often, "anchor", "left_semi"), "suffix-shared")
+    often = stage_table(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-anchors")
+    pieces = stage_table(salted(cut, often.drop("n"), often, ["anchor"], ["doc_id", "first"], "left_semi"), "suffix-shared")
     drop_table(cut)
     kinds = stage_table(pieces.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), *(
         F.first(c).alias(c) for c in ("doc_id", "text_hash", "first", "windows", "place", "keys"))), "suffix-kinds")
     classes = kinds.select("*", F.posexplode("keys").alias("k", "key")).drop("keys", "n")
-    both = classes.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    both = stage_table(classes.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-keys")
     number = F.floor((F.col("place") - F.col("windows") + 1) / F.lit(STEP)) + F.col("k")
     skip = F.greatest(F.lit(0), F.col("place") - STEP * F.col("number") - STEP + 1)
     until = F.least(F.col("windows"), F.col("place") - STEP * F.col("number") + 1)
-    shared = stage_table(classes.join(both, ["anchor", "key"], "left_semi").withColumn("number", number).select(
+    left = F.col("place") - STEP * F.col("number") - skip  # bytes before the class's common ones
+    met = salted(classes, both.drop("n"), both, ["anchor", "key"], ["piece"], "left_semi")
+    shared = stage_table(met.withColumn("number", number).select(
         "doc_id", "text_hash", "anchor", "piece", "key", skip.cast("long").alias("skip"),
-        (until - skip).cast("long").alias("windows"), (F.col("first") + skip).cast("long").alias("begin")), "suffix-classes")
-    size = shared.agg(F.sum(F.col("windows") + LENGTH)).first()[0] or 0
-    sorted_ = sorted_repeats(class_texts(slim, shared), max(1, -(-int(size) // SHARD_BYTES)))
+        (until - skip).cast("long").alias("windows"), (F.col("first") + skip).cast("long").alias("begin"),
+        left.cast("long").alias("left")), "suffix-classes")
+    size = shared.agg(F.sum(F.col("windows") + CODED)).first()[0] or 0
+    sorted_ = sorted_repeats(class_texts(slim, shared), max(1, -(-int(size) // SHARD_SYMBOLS)))
     whole = kinds.where("n > 1").select("anchor", "piece", F.lit(0).cast("long").alias("a"),
                                         F.col("windows").cast("long").alias("b"))
-    found = pieces.select("doc_id", "text_hash", "anchor", "piece", "first").join(
-        stage_table(whole.union(sorted_), "suffix-ranges"), ["anchor", "piece"])
+    found = salted(pieces.select("doc_id", "text_hash", "anchor", "piece", "first"),
+                   stage_table(whole.union(sorted_), "suffix-ranges"), kinds.select("anchor", "piece", "n"),
+                   ["anchor", "piece"], ["doc_id", "first"])
     ranges = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
         (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + LENGTH - 1).alias("b"))).alias("ranges"))
 

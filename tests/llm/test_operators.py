@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastemap.llm import (chat, decontaminate, lm_scoring, minhash, packing, quality, secrets, span_dedup,
-                          suffix_dedup)
+                          suffix_dedup, suffix_sort)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 rng = random.Random(11)
@@ -155,6 +155,51 @@ def test_suffix_dedup(spark, texts, docs):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("symbols", [2, 5, 400])
+def test_suffix_sort_through_files(tmp_path, monkeypatch, symbols):
+    """Queues of a few entries: heaps and buckets pass through their files at every level."""
+    made = []
+    monkeypatch.setattr(suffix_sort, "HEAP", 8)
+    monkeypatch.setattr(suffix_sort.RunHeap, "_read", staticmethod(
+        lambda name, read=suffix_sort.RunHeap._read: made.append(name) or read(name)))
+    draw = np.random.default_rng(symbols)
+    text = draw.integers(2, 2 + symbols, 3000).astype(np.int16)
+    text[1500:1700], text[2600:2750], text[-1] = text[100:300], text[400:550], 0
+    got = np.sort(suffix_sort.repeated(text, 20, str(tmp_path), limit=16)).tolist()
+    runs = [bytes(text[k:k + 20]) for k in range(len(text) - 19)]
+    seen = collections.Counter(runs)
+    assert [p for p in got if p < len(runs)] == [k for k, r in enumerate(runs) if seen[r] > 1]
+    assert made
+
+
+def test_suffix_dedup_splits_hot_keys(spark):
+    """A passage that every document holds, with different text on both sides: one anchor, piece
+    and class for all; the same as brute force, and its rows meet in no single task."""
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(700))
+    texts = [(i, "".join(draw.choice("ijklmnop ") for _ in range(60)) + passage
+              + "".join(draw.choice("ijklmnop ") for _ in range(60))) for i in range(150)]
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(
+        spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    where = collections.Counter(t[k:k + 400] for _, t in texts for k in range(len(t) - 399))
+    for i, t in texts:
+        gone = {k + j for k in range(len(t) - 399) if where[t[k:k + 400]] > 1 for j in (0, 399)}
+        assert got[i] == (max(gone) - min(gone) + 1, 1)
+    rows = spark.range(10_000).selectExpr("0L AS k", "id AS v")
+    once = spark.createDataFrame([(0, 10_000)], "k bigint, n bigint")
+    given = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        spread = suffix_dedup.salted(rows, once.drop("n"), once, ["k"], ["v"])
+        sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 10_000 and len(sizes) > 1 and max(sizes) < 6_000
+
+
 def test_near_duplicates(spark, texts, docs):
     words_of = lambda t: (t or "").encode().lower().split()
     extra = []
