@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tastemap.operators import explore as X
 from tastemap.operators import quality as QC
 from tastemap.sources import read_tables_csv
-from tastemap.sources.csv import read_csv_typed
+from tastemap.sources.csv import read_csv_checked, read_csv_typed
 from tastemap.sources.schemas import SCHEMAS
 from tastemap.sources.views import load_tables
 from tests.conftest import SF_SMALL
@@ -58,3 +58,25 @@ def test_wide_ids_are_kept(spark):
     typed = read_csv_typed(spark, path, "ratings")
     assert sorted((r["userId"] or 0, r["movieId"]) for r in typed.collect()) == [(0, 1), (9007199254740993, 4294967296)]
     assert QC.clean_ratings(typed).count() == 1
+
+
+def test_rejects_are_kept_with_file_and_reason(spark):
+    folder = tempfile.mkdtemp(prefix="tastemap-csv-")
+    path = os.path.join(folder, "movies.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write('movieId,title,genres\n1,"two\nlines, ""quoted""",Drama\n2,short\n3,too,many,fields\nx,name,Drama\n'
+                 ',nobody,Drama\n4,,Drama\n5, spaced ,\n')
+    rows, rejects = read_csv_checked(spark, path, "movies")
+    assert sorted(map(tuple, rows.collect())) == [(1, 'two\nlines, "quoted"', "Drama"), (5, " spaced ", None)]
+    assert rows.schema.simpleString() == SCHEMAS["movies"].simpleString()
+    got = rejects.collect()
+    assert sorted((r["line"], r["reason"]) for r in got) == [
+        (",nobody,Drama", "movieId: missing"), ("2,short", "fields"), ("3,too,many,fields", "fields"),
+        ("4,,Drama", "title: missing"), ("x,name,Drama", "movieId: not a bigint")]
+    assert all(r["file"].endswith("movies.csv") for r in got)
+    assert rows.count() + rejects.count() == 7
+
+    empty = os.path.join(folder, "empty.csv")
+    open(empty, "w").close()
+    rows, rejects = read_csv_checked(spark, empty, "ratings")
+    assert rows.count() == rejects.count() == 0
