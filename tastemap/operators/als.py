@@ -43,6 +43,16 @@ def split_hash(ratings: DataFrame, n_buckets: int = 5, test_bucket: int = 0):
     return ratings.where(b != test_bucket), ratings.where(b == test_bucket)
 
 
+def split_random(ratings: DataFrame, test_share: float = 0.2, seed: int = DEFAULT_SEED):
+    """Seeded random split by row: a row's draw is a hash of its ids and the seed, so the split
+    stays the same however the rows are dealt out (``randomSplit`` follows their partitions)."""
+    if not 0 <= test_share <= 1:
+        raise ValueError(f"test_share must lie in 0..1: {test_share}")
+    draw = F.pmod(F.xxhash64(F.col("userId").cast("bigint"), F.col("movieId").cast("bigint"), F.lit(seed)), F.lit(1 << 30))
+    test = draw < F.lit(int(test_share * (1 << 30)))
+    return ratings.where(~test), ratings.where(test)
+
+
 # M2 ---------------------------------------------------------------------------------
 def make_als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.1, *,
              rating_col: str = "rating", cold_start: str = "drop", seed: int = DEFAULT_SEED,
