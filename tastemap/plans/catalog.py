@@ -6,13 +6,16 @@ runs one operator of the library over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import join_ranked, unpack
 from ..operators import als as ALSOPS
+from ..operators import als_normal as ALSN
 from ..operators import biased_mf as BMF
 from ..operators import explore as X
 from ..operators import genres as G
@@ -24,6 +27,7 @@ from ..operators import similarity as SIM
 from ..operators import store as STORE
 from ..operators import tuning as TUNE
 from ..session import materialize, record_scratch, scratch_path
+from ..sources.csv import read_csv_checked, write_csv
 from ..sources.views import load_item_factors, load_tables, register_views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -233,6 +237,15 @@ def _q_als_rmse(spark, d):
     return ALSOPS.rmse_frame(ALSOPS.predict(model, test))
 
 
+@query("als_item_equations")
+def _q_als_equations(spark, d):
+    """What the last half-step leaves of each item's normal equations: nothing."""
+    _, train, _ = _train_test(spark, d)
+    model = ALSN.fit_als_normal(train, **ALS_PARAMS)
+    out = ALSN.item_residuals(model, train, ALS_PARAMS["reg_param"])
+    return out.withColumn("residual", F.round("residual", 6))
+
+
 @query("als_predictions")
 def _q_als_pred(spark, d):
     _, train, test = _train_test(spark, d)
@@ -437,3 +450,50 @@ def _q_sgd_tuning(spark, d):
     model = SGD.fit_sgd(train, best["n_factors"], best["n_epochs"], best["lr_all"], best["reg_all"])
     held_out = ALSOPS.rmse(BMF.predict_biased(model, test), prediction="estimate")
     return report.withColumn("test_rmse", F.when(F.col("is_best"), F.lit(held_out)))
+
+
+# CSV: the four tables written, broken lines among them, and read back ------------------
+def _csv_tables(spark, d):
+    """``table -> (rows, rejects)`` of the CSV form of the tables, with titles that hold quotes, commas
+    and line breaks, and three broken lines for every tenth movie."""
+    t = load_tables(spark, d)
+    epoch = F.unix_timestamp("ts").cast("bigint").alias("timestamp")
+    hostile = F.concat(F.lit('"'), F.col("title"), F.lit('", '), F.col("movieId"), F.lit('\n,""\\ '))
+    frames = {
+        "ratings": t.ratings.select("userId", "movieId", "rating", epoch),
+        "movies": t.movies.select("movieId", hostile.alias("title"), "genres"),
+        "links": t.links,
+        "tags": t.tags.select("userId", F.coalesce("movieId", F.lit(0)).alias("movieId"), "tag", epoch),
+    }
+    tenth = t.movies.where(F.col("movieId") % 10 == 0).select(F.col("movieId").cast("string").alias("m"))
+    broken = {
+        "movies": [F.concat(F.col("m"), F.lit(",lost"))],
+        "ratings": [F.concat(F.lit("u"), F.col("m"), F.lit(","), F.col("m"), F.lit(",4.5,0")),
+                    F.concat(F.lit(","), F.col("m"), F.lit(",4.5,0"))],
+    }
+    out = {}
+    for name, df in frames.items():
+        path = scratch_path(spark, f"csv-{name}-{uuid.uuid4().hex}")
+        write_csv(df, path, header=False)
+        for line in broken.get(name, []):
+            tenth.select(line).write.mode("append").text(path)
+        record_scratch(spark, path)
+        out[name] = read_csv_checked(spark, path, name, header=False)
+    return out
+
+
+@query("csv_movies")
+def _q_csv_movies(spark, d):
+    return _csv_tables(spark, d)["movies"][0]
+
+
+@query("csv_rejects")
+def _q_csv_rejects(spark, d):
+    parts = [rejects.select(F.lit(name).alias("table_name"), "line", "reason")
+             for name, (_, rejects) in _csv_tables(spark, d).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("csv_report")
+def _q_csv_report(spark, d):
+    return QC.table_report({name: rows for name, (rows, _) in _csv_tables(spark, d).items()})

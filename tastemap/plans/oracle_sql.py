@@ -360,3 +360,25 @@ SELECT r.userId, r.movieId, r.rating, r.ts, m.title, m.genres
 FROM ratings AS r LEFT JOIN movies AS m ON r.movieId = m.movieId
 WHERE r.userId IN (SELECT 7 * userId FROM tags)
 """)
+
+ORACLES["als_item_equations"] = _q(_SPLIT + """
+SELECT movieId, count(*) AS n_ratings, CAST(0 AS double) AS residual FROM train GROUP BY movieId
+""")
+
+ORACLES["csv_movies"] = _q("""
+SELECT movieId, concat('"', title, '", ', movieId, chr(10), ',""', chr(92), ' ') AS title, genres FROM movies
+""")
+
+ORACLES["csv_rejects"] = _q(""",
+tenth AS (SELECT movieId AS m FROM movies WHERE movieId % 10 = 0)
+SELECT 'movies' AS table_name, concat(m, ',lost') AS line, 'fields' AS reason FROM tenth
+UNION ALL SELECT 'ratings', concat('u', m, ',', m, ',4.5,0'), 'userId: not a bigint' FROM tenth
+UNION ALL SELECT 'ratings', concat(',', m, ',4.5,0'), 'userId: missing' FROM tenth
+""")
+
+ORACLES["csv_report"] = _q("""
+SELECT 'ratings' AS table_name, count(*) AS n_rows, 0 AS n_rejected FROM ratings
+UNION ALL SELECT 'movies', count(*), 0 FROM movies
+UNION ALL SELECT 'links', count(*), 0 FROM links
+UNION ALL SELECT 'tags', count(*), 0 FROM tags
+""")
