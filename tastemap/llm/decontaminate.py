@@ -8,8 +8,10 @@ by the positions of the spaces (``word_offsets`` maps those to the original text
 
 The automaton is built from at most ``MAX_ITEM_BYTES`` of benchmark text, the bound of what
 is broadcast. A larger benchmark is dealt by item into as many parts as needed, each within
-the bound (an item's windows stay together); the documents then pass the parts one after
-the other, and what an earlier part has hit is carried along. Documents are never shuffled.
+the bound (an item's windows stay together). Each part is one scan of the documents that gives
+rows for those it hits alone, keyed by id and hashes of the text, without texts: a bit a word
+and the items. Texts are read once a part and never written; ``drop_contaminated`` shuffles
+them once if there are several parts, ``scan_documents`` never.
 
 Edge cases: null or empty texts have no words and are not hit; items without words match
 nothing; equal items both count; an item without an id counts and is written as an empty
@@ -22,13 +24,14 @@ import hashlib
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm._common import read_table, rows, stage_table, text_bytes
+from tastemap.llm._common import read_table, rows, text_bytes
 
 WINDOW = 10
 MAX_ITEM_BYTES = 256 * 1024
@@ -117,49 +120,75 @@ def item_parts(benchmark: DataFrame, bound: int = MAX_ITEM_BYTES) -> list[Shared
 def scan_documents(docs: DataFrame, benchmark: DataFrame, bound: int = MAX_ITEM_BYTES) -> DataFrame:
     """One row per document with the words hit and the items found."""
     parts = item_parts(benchmark, bound)
-    carried = text_bytes(docs).withColumns({"mask": F.lit(b""), "items": F.array().cast("array<string>")})
-    schema = "id long, text binary, mask binary, items array<string>"
-    for k, shared in enumerate(parts[:-1]):  # only a benchmark over the bound has such parts
-        carried = stage_table(carried.mapInArrow(_marker(shared), schema), f"hits-{k}")
-    return carried.mapInArrow(_reporter(parts[-1]),
-                              "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                              "contaminated boolean")
-
-
-def _found(made, batch: pa.RecordBatch) -> Iterator[tuple]:
-    for key, text, mask, items in rows(batch, "id", "text", "mask", "items"):
-        hit, found = find_hits(made, words_of(text))
-        if mask:
-            hit = hit | np.unpackbits(np.frombuffer(mask, np.uint8), count=len(hit)).astype(bool)
-        yield key, text, hit, found.union(items)
-
-
-def _marker(shared: Shared):
+    slim = text_bytes(docs)
+    if len(parts) == 1:
+        return slim.mapInArrow(_reporter(parts[0]), _REPORT)
+    keyed = slim.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    first = keyed.mapInArrow(_marker(parts[0], True), _MARKS).select("id", "h1", "h2", "n_words", F.struct("mask", "items").alias("own"))
+    more = None
+    for k, shared in enumerate(parts[1:]):
+        part = keyed.mapInArrow(_marker(shared, False), _MARKS).withColumn("part", F.lit(k))
+        more = part if more is None else more.union(part)
+    once = more.groupBy("id", "h1", "h2", "part").agg(F.first("mask").alias("mask"), F.first("items").alias("items"))
+    more = once.groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("mask", "items")).alias("more"))
+    same = first["id"].eqNullSafe(more["id"]) & (first["h1"] == more["h1"]) & (first["h2"] == more["h2"])
+    found = first.join(more, same, "left").select(
+        first["id"].alias("id"), "n_words", F.concat(F.array("own"), F.coalesce("more", F.array())).alias("found"))
+    return found.mapInArrow(_combine, _REPORT)
+
+
+_REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+_MARKS = "id long, h1 long, h2 long, n_words long, mask binary, items array<string>"
+
+
+def _marker(shared: Shared, every: bool):
+    """Words hit and items found by one part; of documents that it does not hit only if ``every``."""
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(shared)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()))
         for batch in batches:
-            out = [(k, t, np.packbits(h).tobytes(), sorted(i)) for k, t, h, i in _found(made, batch)]
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string())))],
-                names=["id", "text", "mask", "items"])
+            out = []
+            for key, text, h1, h2 in rows(batch, "id", "text", "h1", "h2"):
+                hit, items = find_hits(made, words_of(text))
+                if every or items:
+                    out.append((key, h1, h2, len(hit), np.packbits(hit).tobytes(), sorted(items)))
+            columns = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                             names=["id", "h1", "h2", "n_words", "mask", "items"])
     return mark
 
 
+def _reported(out: list[tuple]) -> pa.RecordBatch:
+    """Rows ``id, words hit, items`` as the report's."""
+    told = [(k, len(h), int(h.sum()), len(i), hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(), bool(h.any()))
+            for k, h, i in out]
+    columns = list(zip(*told)) or [()] * 6
+    types = [pa.int64()] * 4 + [pa.string(), pa.bool_()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types)],
+        names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+
 def _reporter(shared: Shared):
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(shared)
         for batch in batches:
-            out = [(k, len(h), int(h.sum()), len(i), hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(),
-                    bool(h.any())) for k, _, h, i in _found(made, batch)]
-            columns = list(zip(*out)) or [()] * 6
-            types = [pa.int64()] * 4 + [pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            yield _reported([(k, *find_hits(made, words_of(t))) for k, t in rows(batch, "id", "text")])
     return report
 
 
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for key, n_words, found in rows(batch, "id", "n_words", "found"):
+            hit, items = np.zeros(n_words, bool), set()
+            for one in found:
+                hit |= np.unpackbits(np.frombuffer(one["mask"], np.uint8), count=n_words).astype(bool)
+                items.update(one["items"])
+            out.append((key, hit, items))
+        yield _reported(out)
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                       bound: int = MAX_ITEM_BYTES) -> DataFrame:
     """The documents without any benchmark window, with exactly the columns they came with."""
@@ -173,10 +202,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         return keep
 
     parts = item_parts(benchmark, bound)
-    for k, shared in enumerate(parts):
-        docs = docs.mapInArrow(keeper(shared), docs.schema)
-        docs = stage_table(docs, f"clean-{k}") if k + 1 < len(parts) else docs
-    return docs
+    if len(parts) == 1:
+        return docs.mapInArrow(keeper(parts[0]), docs.schema)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.select(F.lit(0).cast("long").alias("id"), text.cast("binary").alias("text")).withColumns(
+        {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    found = reduce(DataFrame.union, [keyed.mapInArrow(_marker(p, False), _MARKS).select("h1", "h2") for p in parts]).distinct()
+    own = text.cast("binary")
+    return docs.join(found, (F.xxhash64(own) == found["h1"]) & (F.xxhash64(F.lit(1), own) == found["h2"]), "left_anti")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -464,3 +464,20 @@ def test_span_dedup_by_words(spark, texts, monkeypatch):
     for i in (103, 104, 105):  # planted passages in one, in two long and in many short sentences
         assert left[i]["n_removed"] > 0 and len(left[i]["kept_text"].split()) < len(dict(rows)[i].split()) - 25
     assert left[201]["kept_text"].strip() == "" and left[200]["n_removed"] > 0 and left[300]["n_removed"] == 0
+
+
+def test_parts_of_a_benchmark_write_no_texts(spark):
+    """A benchmark of many parts: one scan of the documents each, marks without texts, nothing staged."""
+    assert not hasattr(decontaminate, "stage_table")
+    items = spark.range(300).selectExpr("id AS item_id", "concat_ws(' ', transform(sequence(0, 11), k -> concat('v', id * 7 + k))) AS text")
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('a b ', concat_ws(' ', transform(sequence(0, 30), k -> concat('v', id * 60 + k)))) AS text")
+    docs = docs.unionAll(docs.limit(3))
+    parts = decontaminate.item_parts(items, 2000)
+    assert len(parts) > 5
+    whole = collections.Counter(map(tuple, decontaminate.scan_documents(docs, items).collect()))
+    assert collections.Counter(map(tuple, decontaminate.scan_documents(docs, items, 2000).collect())) == whole
+    assert any(r[5] for r in whole) and not all(r[5] for r in whole)
+    kept = sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items, bound=2000).collect())
+    assert kept == sorted(r[0] for r in whole.elements() if not r[5])
+    assert set(decontaminate._MARKS.split(", ")) == {
+        "id long", "h1 long", "h2 long", "n_words long", "mask binary", "items array<string>"}
