@@ -17,6 +17,10 @@ from ..session import materialize
 from .biased_mf import BiasedMF, recommend_biased
 from .popularity import most_rated_inner
 
+LIST_BOUND = 10_000  # titles of a fallback list that is broadcast
+SALTS = 64  # tasks that share a longer one
+
+
 def known_flags(requests: DataFrame, ratings: DataFrame) -> DataFrame:
     """``is_known`` per requested user, by a join with the distinct rated users."""
     users = ratings.select(F.col("userId").cast("bigint").alias("userId")).distinct() \
@@ -36,7 +40,9 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
     ``status``: ``ok``, ``fallback`` (unknown user) or ``invalid`` (no user, or n not
     positive; no titles). Each distinct user is scored once, in the class (power of two)
     of the largest n asked for, and the list is cut per request, so repeated requests and
-    several n for one user get what each asked for.
+    several n for one user get what each asked for. An n beyond the number of movies asks for all
+    of them. The fallback list is broadcast up to LIST_BOUND titles; a longer one meets the
+    requests through a shuffle on SALTS keys.
     """
     req = requests.select(F.col("userId").cast("bigint").alias("userId"), F.col("n").cast("int").alias("n"))
     valid = F.coalesce(F.col("userId").isNotNull() & (F.col("n") > 0), F.lit(False))
@@ -44,10 +50,10 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
     users = flagged.where("is_known").groupBy("userId").agg(F.max("n").alias("most")) \
         .withColumn("size", F.ceil(F.log2("most")).cast("int"))
     users = materialize(users, "request-users")
-    lists = None
+    lists, n_movies = None, movies.count()
     for row in users.select("size").distinct().orderBy("size").collect():  # at most 32 classes
         part = users.where(F.col("size") == row["size"])
-        recs = recommend_biased(model, part.select("userId"), movies, 1 << row["size"])
+        recs = recommend_biased(model, part.select("userId"), movies, max(1, min(1 << row["size"], n_movies)))
         lists = recs if lists is None else lists.unionByName(recs)
     answers = []
     if lists is not None:
@@ -57,14 +63,19 @@ def serve(requests: DataFrame, model: BiasedMF, movies: DataFrame, ratings: Data
             "userId", "n", F.lit(True).alias("is_known"), F.lit("ok").alias("status"),
             F.coalesce(_titles_up_to("all_titles", "n"), F.lit("")).alias("titles")))
     unknown = flagged.where(~F.col("is_known"))
-    most = unknown.agg(F.max("n")).first()[0]
+    most = min(unknown.agg(F.max("n")).first()[0] or 0, max(1, n_movies))
     if most:  # one row of at most `most` titles
         top = most_rated_inner(movies, ratings, most).agg(F.transform(
             F.sort_array(F.collect_list(F.struct("rank", "title"))), lambda x: x["title"]).alias("all_titles"))
-        answers.append(unknown.withColumn("_one", one_key("userId")).join(
-            F.broadcast(top.withColumn("_one", one_key("all_titles"))), "_one")
-                       .select("userId", "n", F.lit(False).alias("is_known"), F.lit("fallback").alias("status"),
-                               _titles_up_to("all_titles", "n").alias("titles")))
+        if most <= LIST_BOUND:
+            asked = unknown.withColumn("_one", one_key("userId"))
+            top = F.broadcast(top.withColumn("_one", one_key("all_titles")))
+        else:
+            asked = unknown.withColumn("_one", F.pmod(F.xxhash64("userId", "n"), F.lit(SALTS)).cast("int"))
+            top = top.withColumn("_one", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        answers.append(asked.join(top, "_one").select(
+            "userId", "n", F.lit(False).alias("is_known"), F.lit("fallback").alias("status"),
+            _titles_up_to("all_titles", "n").alias("titles")))
     out = req.where(~valid).select("userId", "n", F.lit(False).alias("is_known"), F.lit("invalid").alias("status"),
                                    F.lit("").alias("titles"))
     for part in answers:

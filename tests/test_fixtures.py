@@ -189,3 +189,17 @@ def test_checkpoint_folder_override_and_clean_up(spark):
     assert os.path.exists(path.removeprefix("file:"))
     assert session.clean_up(spark) >= 1
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+@pytest.mark.parametrize("bound", [10_000, 3])
+def test_huge_n_gives_every_movie_once(spark, monkeypatch, bound):
+    from tastemap.operators import biased_mf as B
+    from tastemap.operators import serving as S
+    monkeypatch.setattr(S, "LIST_BOUND", bound)
+    ratings = spark.createDataFrame([(u, i, float(i % 5 + 1)) for u in (1, 2) for i in range(1, 7)],
+                                    "userId bigint, movieId bigint, rating float")
+    movies = spark.createDataFrame([(i, f"m{i}", "x") for i in range(1, 7)], "movieId bigint, title string, genres string")
+    req = spark.createDataFrame([(1, 2_000_000_000), (9, 2_000_000_000), (8, 4), (8, 4)], "userId bigint, n int")
+    got = sorted((r["userId"], r["status"], len(r["titles"].split(" | "))) for r in
+                 S.serve(req, B.fit_biased_mf(ratings, rank=0), movies, ratings).collect())
+    assert got == [(1, "ok", 6), (8, "fallback", 4), (8, "fallback", 4), (9, "fallback", 6)]
