@@ -250,3 +250,15 @@ def test_a_fit_sends_factors_to_few_blocks():
     blocks = [A.sized(A.make_als(), Session(), n).getNumUserBlocks() for n in (1000, 30_000_000, 170_000_000)]
     assert blocks == [4, 4, 6]
     assert A.sized(A.make_als(blocks=9), Session(), 1000).getNumItemBlocks() == 9
+
+
+def test_fits_of_a_fold_share_its_rows(spark, planted):
+    train, held_out = A.split_hash(planted, 5, 0)
+    fold = A.rating_fold(train, held_out)
+    try:
+        got = A.rating_fold_rmse(fold, 3, 2, 0.1)
+        assert fold.rows.is_cached and fold.held_out.is_cached
+    finally:
+        fold.release()
+    want = A.rmse(A.predict(A.fit_als(train, 3, 2, 0.1), held_out))
+    assert got == pytest.approx(want, rel=1e-3)
