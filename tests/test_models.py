@@ -262,3 +262,14 @@ def test_fits_of_a_fold_share_its_rows(spark, planted):
         fold.release()
     want = A.rmse(A.predict(A.fit_als(train, 3, 2, 0.1), held_out))
     assert got == pytest.approx(want, rel=1e-3)
+
+
+def test_bias_tables_do_not_pass_through_the_driver(spark, planted):
+    from tests.test_plans import plan
+    train, test = A.split_hash(planted, 5, 0)
+    items = B.item_sums(train)
+    mu, bi, bu = B.bias_baseline(train, 5.0, 7.0, items=items)
+    assert "BroadcastHashJoin" not in plan(B.baseline_predict(mu, bi, bu, test))
+    n, s = planted.where((31 * F.col("userId") + 17 * F.col("movieId")) % 5 != 0).where("movieId = 3") \
+        .agg(F.count(F.lit(1)), F.sum(F.col("rating").cast("double") - mu)).first()
+    assert bi.where("movieId = 3").first()["b_i"] == pytest.approx(s / (n + 5.0))
