@@ -200,6 +200,38 @@ def test_suffix_dedup_splits_hot_keys(spark):
     assert sum(sizes) == 10_000 and len(sizes) > 1 and max(sizes) < 6_000
 
 
+def test_suffix_dedup_splits_large_classes(spark, monkeypatch):
+    """No task sorts a class of very many pieces; its windows are counted, as by brute force."""
+    draw, sizes, sort = random.Random(6), [], suffix_dedup.sorted_repeats
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(700))
+    ends = ["".join(draw.choice("ijklmnop ") for _ in range(60)) for _ in range(40)]
+    texts = [(i, (draw.choice(ends)[:30] + draw.choice(ends))[draw.randint(0, 60):] + passage
+              + draw.choice(ends)[:draw.randint(0, 9)] + draw.choice(ends)) for i in range(150)]
+    texts += [(200, passage[:380] + "x"), (201, passage[:380] + "x"), (202, None), (203, texts[0][1]), (203, texts[0][1])]
+
+    def sorted_repeats(rows, shards):
+        sizes.append([r["count"] for r in rows.groupBy("anchor", "key").count().collect()])
+        return sort(rows, shards)
+
+    monkeypatch.setattr(suffix_dedup, "CLASS_PIECES", 20, raising=False)
+    monkeypatch.setattr(suffix_dedup, "sorted_repeats", sorted_repeats)
+    got = collections.Counter((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(
+        spark.createDataFrame(texts, "doc_id bigint, text string")).collect())
+    where = collections.Counter((t or "")[k:k + 400] for _, t in texts for k in range(len(t or "") - 399))
+    want = []
+    for i, t in texts:
+        t = t or ""
+        gone = np.zeros(len(t) + 1, bool)
+        for k in range(len(t) - 399):
+            if where[t[k:k + 400]] > 1:
+                gone[k:k + 400] = True
+        want.append((i, int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()),
+                     "".join(c for c, g in zip(t, gone) if not g).encode()))
+    assert got == collections.Counter(want)
+    (sizes,) = sizes
+    assert sizes and max(sizes) <= 20
+
+
 def test_near_duplicates(spark, texts, docs):
     words_of = lambda t: (t or "").encode().lower().split()
     extra = []
